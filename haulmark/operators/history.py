@@ -11,6 +11,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from haulmark.functions.timeops import SECONDS_PER_DAY, epoch_second
+
 
 def _running(value: str, groups: Sequence[str], order: str) -> Column:
     window = Window.partitionBy(*groups).orderBy(order)
@@ -22,9 +24,9 @@ def running_total(instants: DataFrame, keys: Sequence[str], time: str, value: st
     if isinstance(instants.schema[time].dataType, T.DateType):
         return instants.withColumn(value, _running(value, keys, time))
 
-    rows = instants.withColumn("_second", F.date_trunc("second", F.col(time)))
+    rows = instants.withColumn("_second", epoch_second(instants, time))
     seconds = rows.groupBy(*keys, "_second").agg(F.sum(value).alias("_in_second"))
-    seconds = seconds.withColumn("_day", F.to_date("_second"))
+    seconds = seconds.withColumn("_day", F.floor(F.col("_second") / SECONDS_PER_DAY))
     days = seconds.groupBy(*keys, "_day").agg(F.sum("_in_second").alias("_in_day"))
     days = days.select(
         *keys, "_day", (_running("_in_day", keys, "_day") - F.col("_in_day")).alias("_before_day")
@@ -77,20 +79,18 @@ def since_previous(
 
     `day` is a date and `order` a unique column that ranks the events of one day. The first
     event of a key looks back to `start`; the second of a day looks back to the same day.
+    An event without a key or day has no previous one.
     """
     days = events.groupBy(key, day).agg(F.min(order).alias("_first"))
     window = Window.partitionBy(key).orderBy(day)
     days = days.withColumn("_earlier", F.coalesce(F.lag(day).over(window), start))
     opens_day = F.col(order) == F.col("_first")
     return (
-        events.join(days, [key, day])
-        .withColumn(previous, F.when(opens_day, F.col("_earlier")).otherwise(F.col(day)))
+        events.join(days, [key, day], "left")
+        .withColumn(
+            previous, F.when(opens_day, F.col("_earlier")).when(~opens_day, F.col(day))
+        )
         .withColumn(gap, F.date_diff(F.col(day), F.col(previous)))
         .select(*events.columns, previous, gap)
     )
 
-
-def changes(df: DataFrame, key: str, order: str, value: str, name: str) -> DataFrame:
-    """Flag rows whose `value` differs from the row before, in `order` within `key`."""
-    before = F.lag(value).over(Window.partitionBy(key).orderBy(order))
-    return df.withColumn(name, ~F.col(value).eqNullSafe(before))
