@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from datetime import date, datetime
+from datetime import date
 
 from pyspark.sql import DataFrame, functions as F
 
 from haulmark.functions.timeops import NEVER, YARD_ZONE, local_time, year_month
 from haulmark.operators.latest import drop_tombstones, latest_by_maxima, snapshot_dimension
 
-NEVER_TIME = datetime(1900, 1, 1)
 
 # Attributes of each dimension besides the source system.
 DIMENSIONS: Mapping[str, Sequence[str]] = {
@@ -43,20 +42,20 @@ ROVER_COLUMNS = (
     "vehicleviewversion", "bootloaderfwversion", "gyroserialnumber", "flags",
     "navbootloaderversion",
 )
-ROVER_MAXIMA = {"lastdetailtimestamp": None, "startuptimestamp": NEVER_TIME}
+ROVER_MAXIMA = {"lastdetailtimestamp": None, "startuptimestamp": NEVER}
 VEHICLE_COLUMNS = (
     "sourcesystem", "mjid", "chid", "lastdetailtimestamp", "lastfueltimestamp",
     "lastrefueltimestamp", "lasttiretimestamp", "lastimpacttimestamp", "vehicletypeid",
     "vehiclesubtypeid", "trailcolor", "status", "tosserveripaddress", "lastplctimestamp",
 )
 VEHICLE_MAXIMA = {
-    "lastdetailtimestamp": NEVER_TIME,
-    "lastfueltimestamp": NEVER_TIME,
-    "lastrefueltimestamp": NEVER_TIME,
-    "lasttiretimestamp": NEVER_TIME,
-    "lastimpacttimestamp": NEVER_TIME,
+    "lastdetailtimestamp": NEVER,
+    "lastfueltimestamp": NEVER,
+    "lastrefueltimestamp": NEVER,
+    "lasttiretimestamp": NEVER,
+    "lastimpacttimestamp": NEVER,
     "vehiclesubtypeid": 0,
-    "lastplctimestamp": NEVER_TIME,
+    "lastplctimestamp": NEVER,
 }
 
 

@@ -46,13 +46,13 @@ def survival_dataset(
     `sincefailure_days` from the asset's failure before (its first failure: from the first
     failure of all), and `cumulative_maintenance` the maintenance finished by that day. An
     asset maintained and never failed gets a censored row over the whole range; one without
-    an install year gets none. `workorderid` must be unique; dates are whole days.
+    an install year gets none. `workorderid` must be unique, and the asset id in `asset`;
+    dates are whole days.
     """
     orders = (
         typed_orders(workorder, worktype, type_key)
         .where(F.col("raisedate") >= F.lit(first_raised))
         .where(F.col("worktypecategory").isin(FAILURE, MAINTENANCE))
-        .join(asset.select(ASSET), ASSET, "left_semi")
         .select(
             ASSET,
             "workorderid",
@@ -62,9 +62,13 @@ def survival_dataset(
         )
     )
     failures = orders.where("failed").select(ASSET, "workorderid", F.col("raised").alias("day"))
-    bounds = failures.agg(F.min("day").alias("first"), F.max("day").alias("last"))
-    first_day = bounds.select("first").scalar()
-    last_day = bounds.select("last").scalar()
+    per_asset = failures.groupBy(ASSET).agg(F.min("day").alias("first"), F.max("day").alias("last"))
+    bounds = (
+        per_asset.join(asset.select(ASSET), ASSET, "left_semi")
+        .agg(F.struct(F.min("first").alias("first"), F.max("last").alias("last")).alias("bounds"))
+        .scalar()
+    )
+    first_day, last_day = bounds["first"], bounds["last"]
 
     # One row per asset and day; maintenance without a finish date falls on a null day.
     days = orders.groupBy(
@@ -105,19 +109,14 @@ def survival_dataset(
             "cumulative_maintenance"
         ),
     )
-    censored = (
-        totals.join(_asset_names(asset), ASSET)
-        .withColumn("day", last_day)
-        .withColumns(
-            {
-                "fail": F.lit(0),
-                # A second name of a failed asset follows the censored row of the first.
-                "earlier": F.when(F.col("last_failure").isNull(), first_day)
-                .when(F.col("first_name"), F.col("last_failure"))
-                .otherwise(F.col("day")),
-            }
-        )
-        .where(F.col("last_failure").isNotNull() | F.col("last_name"))
+    censored = totals.join(
+        asset.select(ASSET, "operationalassetname", "installdate"), ASSET
+    ).withColumns(
+        {
+            "fail": F.lit(0),
+            "day": last_day,
+            "earlier": F.coalesce(F.col("last_failure"), first_day),
+        }
     )
     columns = [
         ASSET, "fail", "day", "earlier", "operationalassetname", "cumulative_maintenance",
@@ -139,22 +138,6 @@ def survival_dataset(
     )
 
 
-def _asset_names(asset: DataFrame) -> DataFrame:
-    """Assets, telling the smallest and the largest name of those listed more than once."""
-    ends = asset.groupBy(ASSET).agg(
-        F.min("operationalassetname").alias("_min"), F.max("operationalassetname").alias("_max")
-    )
-    name = F.col("operationalassetname")
-    return (
-        asset.select(ASSET, "operationalassetname", "installdate")
-        .join(ends, ASSET)
-        .withColumns(
-            {"first_name": name.eqNullSafe(F.col("_min")), "last_name": name.eqNullSafe(F.col("_max"))}
-        )
-        .drop("_min", "_max")
-    )
-
-
 def survival_by_make_site(
     survival: DataFrame,
     asset: DataFrame,
