@@ -12,6 +12,9 @@ NEVER = date(1900, 1, 1)
 
 SECONDS_PER_DAY = 86400
 
+# Fixed value: last year a two-digit year can stand for.
+LAST_SHORT_YEAR = 2068
+
 
 def _column(column: Column | str) -> Column:
     return F.col(column) if isinstance(column, str) else column
@@ -45,8 +48,14 @@ def safe_rate(amount: Column | str, base: Column | str) -> Column:
 
 
 def parse_date(column: Column | str, pattern: str = "M/d/yy") -> Column:
-    """Date from text such as 3/5/19 or 03/05/19; null when it does not parse."""
-    return F.try_to_timestamp(_column(column), F.lit(pattern)).cast("date")
+    """Date from text such as 3/5/19 or 03/05/19; null when it does not parse.
+
+    A two-digit year from 69 on belongs to the last century.
+    """
+    day = F.try_to_timestamp(_column(column), F.lit(pattern)).cast("date")
+    if pattern.count("y") != 2:
+        return day
+    return F.when(F.year(day) > LAST_SHORT_YEAR, F.add_months(day, -1200)).otherwise(day)
 
 
 def epoch_second(df: DataFrame, column: str) -> Column:

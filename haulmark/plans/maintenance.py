@@ -11,7 +11,7 @@ from bisect import bisect_left
 from collections.abc import Mapping, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from haulmark.functions.text import (
     EXCLUDED_NAME_PARTS,
@@ -248,66 +248,81 @@ def pm_schedule(margins: DataFrame) -> DataFrame:
     return margins.where(F.col("estimated") >= 1).withColumn("due", F.explode(due))
 
 
-def _match_in_order(days: pd.DataFrame) -> pd.DataFrame:
-    """Give each due date, in order of its limit, the earliest free completion up to the limit."""
-    done = days[days["completions"] > 0].sort_values("due")
-    dates, free = done["due"].tolist(), done["completions"].tolist()
-    rows = []
-    for row in days[days["scheduled"] > 0].sort_values(["until", "due"]).itertuples():
-        met, at = 0, bisect_left(dates, row.due)
-        while met < row.scheduled and at < len(dates) and dates[at] <= row.until:
-            taken = min(free[at], row.scheduled - met)
+def _served(due: list, until: list, scheduled: list, dates: list, free: list) -> list[int]:
+    """Per due date, in order of its limit, how many take an unused completion up to the limit."""
+    free = list(free)
+    met = [0] * len(due)
+    for i in sorted(range(len(due)), key=lambda i: (until[i], due[i])):
+        at = bisect_left(dates, due[i])
+        while met[i] < scheduled[i] and at < len(dates) and dates[at] <= until[i]:
+            taken = min(free[at], scheduled[i] - met[i])
             free[at] -= taken
-            met += taken
+            met[i] += taken
             at += 1
-        rows.append((getattr(row, ASSET), row.due, row.until, met, row.scheduled - met))
-    return pd.DataFrame(rows, columns=[ASSET, "due", "until", "met", "missed"])
+    return met
+
+
+@F.pandas_udf(T.ArrayType(T.LongType()))
+def _served_counts(
+    due: pd.Series, until: pd.Series, scheduled: pd.Series, dates: pd.Series, free: pd.Series
+) -> pd.Series:
+    return pd.Series(
+        [
+            _served(*[[] if days is None else list(days) for days in asset])
+            for asset in zip(due, until, scheduled, dates, free)
+        ]
+    )
 
 
-def pm_compliance(schedule: DataFrame, completions: DataFrame, finished: str = "finishdate") -> DataFrame:
+def pm_compliance(
+    schedule: DataFrame, completions: DataFrame, finished: str = "finishdate"
+) -> DataFrame:
     """Scheduled dates with `done`: whether a completion of their own falls within the margin.
 
     Dates are served in order, each by the earliest completion not yet used. Copies of one
-    due date and completions of one day are counted beforehand, so the group matched in one
-    task is bounded by the days of the asset's calendar, however many rows it has.
+    due date and completions of one day are counted beforehand, so the lists matched for one
+    asset are bounded by the days of its calendar, however many rows it has.
     """
-    asset_type = schedule.schema[ASSET].dataType.simpleString()
+
+    def by_asset(rows: DataFrame, *columns: str) -> DataFrame:
+        """Per asset one list per column, all in the order of the first."""
+        days = F.sort_array(F.collect_list(F.struct(*columns))).alias("_days")
+        lists = [F.col(f"_days.{name}").alias(name) for name in columns]
+        return rows.groupBy(ASSET).agg(days).select(ASSET, *lists)
+
     until = F.date_add("due", F.col("pm_margin_days").cast("int"))
     wanted = (
-        schedule.groupBy(ASSET, "due", until.alias("until"))
+        schedule.groupBy(
+            ASSET, F.unix_date("due").alias("due"), F.unix_date(until).alias("until")
+        )
         .agg(F.count(F.lit(1)).alias("scheduled"))
-        .withColumn("completions", F.lit(0).cast("long"))
     )
     done = (
-        completions.select(ASSET, F.col(finished).cast("date").alias("due"))
-        .where(F.col("due").isNotNull())
-        .join(wanted.select(ASSET), ASSET, "left_semi")
-        .groupBy(ASSET, "due")
-        .agg(F.count(F.lit(1)).alias("completions"))
-        .select(
-            ASSET, "due", F.lit(None).cast("date").alias("until"),
-            F.lit(0).cast("long").alias("scheduled"), "completions",
-        )
+        completions.where(F.col(finished).isNotNull())
+        .groupBy(ASSET, F.unix_date(F.col(finished).cast("date")).alias("date"))
+        .agg(F.count(F.lit(1)).alias("free"))
     )
-    matched = (
-        wanted.unionByName(done)
-        .groupBy(ASSET)
-        .applyInPandas(
-            _match_in_order,
-            f"{ASSET} {asset_type}, due date, until date, met bigint, missed bigint",
-        )
+    matched = by_asset(wanted, "due", "until", "scheduled").join(
+        by_asset(done, "date", "free"), ASSET, "left"
     )
-    outcome = F.explode(
-        F.array(
-            F.struct(F.lit(True).alias("done"), F.col("met").alias("copies")),
-            F.struct(F.lit(False).alias("done"), F.col("missed").alias("copies")),
-        )
+    met = _served_counts("due", "until", "scheduled", "date", "free")
+    rows = matched.withColumn("met", met).select(
+        ASSET, F.inline(F.arrays_zip("due", "until", "scheduled", "met"))
+    )
+    outcomes = F.array(
+        F.struct(F.lit(True).alias("done"), F.col("met").alias("copies")),
+        F.struct(F.lit(False).alias("done"), (F.col("scheduled") - F.col("met")).alias("copies")),
     )
     return (
-        matched.withColumn("_outcome", outcome)
-        .where(F.col("_outcome.copies") > 0)
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "_outcome.copies")))
-        .select(ASSET, "due", "until", F.col("_outcome.done").alias("done"))
+        rows.select(
+            ASSET,
+            F.date_from_unix_date("due").alias("due"),
+            F.date_from_unix_date("until").alias("until"),
+            F.inline(outcomes),
+        )
+        .where(F.col("copies") > 0)
+        .select(ASSET, "due", "until", "done", F.explode(F.sequence(F.lit(1), "copies")))
+        .drop("col")
     )
 
 

@@ -185,18 +185,12 @@ def part_meters(spark: SparkSession, sf_dir: str) -> DataFrame:
 def part_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Make (two rows, the first counts) and model per part, some missing or marked as null."""
     part = table(spark, sf_dir, "part")
-    rows = F.explode(
-        F.array(
-            F.struct(
-                F.lit(23).alias("attributenameid"),
-                F.when(F.col("p_size") == 50, "NULL").otherwise(
-                    F.concat(F.lit(" \t"), F.upper("p_name"), F.lit(" "))
-                ).alias("datavalue"),
-            ),
-            F.struct(F.lit(23), F.concat(F.lit("ZZ "), "p_brand")),
-            F.struct(F.when(F.col("p_size") == 49, 22).otherwise(24), F.col("p_type")),
-        )
-    )
-    return part.select(F.col("p_partkey").alias("keyid"), rows.alias("a")).select(
-        "keyid", "a.attributenameid", "a.datavalue"
-    )
+    size = F.col("p_size")
+    make = F.when(size == 50, "NULL").otherwise(F.concat(F.lit(" \t"), F.upper("p_name"), F.lit(" ")))
+    values = [
+        (F.lit(23), make),
+        (F.lit(23), F.concat(F.lit("ZZ "), "p_brand")),
+        (F.when(size == 49, 22).otherwise(24), F.col("p_type")),
+    ]
+    rows = [F.struct(a.alias("attributenameid"), v.alias("datavalue")) for a, v in values]
+    return part.select(F.col("p_partkey").alias("keyid"), F.inline(F.array(*rows)))
