@@ -60,14 +60,11 @@ def parse_date(column: Column | str, pattern: str = "M/d/yy") -> Column:
 
 def epoch_second(df: DataFrame, column: str) -> Column:
     """Whole seconds since 1970, never decreasing with time, for both timestamp types."""
-    time = F.col(column)
     if isinstance(df.schema[column].dataType, T.TimestampType):
-        return F.unix_seconds(time)
-    return (
-        F.unix_date(time.cast("date")).cast("long") * SECONDS_PER_DAY
-        + F.hour(time) * 3600
-        + F.minute(time) * 60
-        + F.second(time)
+        return F.unix_seconds(column)
+    return F.expr(
+        f"unix_date(CAST(`{column}` AS DATE)) * {SECONDS_PER_DAY}L"
+        f" + hour(`{column}`) * 3600 + minute(`{column}`) * 60 + second(`{column}`)"
     )
 
 
