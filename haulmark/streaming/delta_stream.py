@@ -27,7 +27,9 @@ def ingest_new_files(
 
     The checkpoint remembers the files, so a rerun without new files does nothing. A batch
     repeated after a failure finds its rows at or below the target's watermark and adds none:
-    a Parquet append becomes visible as a whole or not at all.
+    a Parquet append becomes visible as a whole or not at all. As in the batch form, rows
+    older than the target's watermark are late and left out; with `files_per_batch` set, that
+    also holds for rows of a later file that are older than those of an earlier one.
     """
     reader = spark.readStream.schema(staging_schema)
     if files_per_batch is not None:

@@ -1,0 +1,169 @@
+from __future__ import annotations
+
+from collections import Counter
+from datetime import date, datetime
+
+from pyspark.sql import functions as F
+
+from haulmark.operators.attributes import attribute_columns
+from haulmark.operators.latest import (
+    any_value_per_key,
+    argmax_with_ties,
+    drop_tombstones,
+    latest_by_maxima,
+    snapshot_dimension,
+)
+from haulmark.plans import refresh
+
+T1, T2, T3 = datetime(2019, 1, 1), datetime(2019, 3, 5), datetime(2019, 11, 2)
+NEVER = datetime(1900, 1, 1)
+
+
+def rows(df):
+    return Counter(tuple(row) for row in df.collect())
+
+
+def test_deletions_and_rows_without_operation_are_dropped(spark):
+    df = spark.createDataFrame([(1, "I"), (2, "U"), (3, "D"), (4, None)], "a int, dboperationtype string")
+    assert rows(drop_tombstones(df).select("a")) == Counter({(1,): 1, (2,): 1})
+
+
+def test_snapshot_keeps_the_newest_time_per_tuple(spark):
+    df = spark.createDataFrame(
+        [("p", T1, 1, "x"), ("p", T2, 1, "x"), ("p", T1, 1, None), ("p", T3, None, "x")],
+        "sourcesystem string, audtdateadded timestamp, id int, description string",
+    )
+    attributes = ["sourcesystem", "id", "description"]
+    assert rows(snapshot_dimension(df, attributes)) == Counter(
+        {("p", 1, "x", T2): 1, ("p", 1, None, T1): 1, ("p", None, "x", T3): 1}
+    )
+    assert rows(snapshot_dimension(df, attributes, not_null=["id"])) == Counter(
+        {("p", 1, "x", T2): 1, ("p", 1, None, T1): 1}
+    )
+
+
+def test_latest_needs_all_maxima_on_one_row(spark):
+    df = spark.createDataFrame(
+        [
+            ("one", T2, 5, "kept"), ("one", T1, 3, "old"),
+            ("split", T2, 1, "a"), ("split", T1, 9, "b"),
+            ("tie", T2, 5, "c"), ("tie", T2, 5, "d"), ("tie", T2, 5, "d"),
+            ("missing", None, None, "e"),
+            (None, T3, 9, "f"),
+        ],
+        "mjid string, at timestamp, n int, note string",
+    )
+    found = latest_by_maxima(df, "mjid", {"at": date(1900, 1, 1), "n": 0})
+    assert rows(found) == Counter(
+        {
+            ("one", T2, 5, "kept"): 1,
+            ("tie", T2, 5, "c"): 1,
+            ("tie", T2, 5, "d"): 1,
+            ("missing", NEVER, 0, "e"): 1,
+        }
+    )
+
+
+def test_latest_keeps_a_value_below_its_default(spark):
+    df = spark.createDataFrame([("a", -5), ("a", -9)], "mjid string, n int")
+    assert rows(latest_by_maxima(df, "mjid", {"n": 0})) == Counter({("a", -5): 1})
+
+
+def test_latest_without_default_leaves_missing_values_out(spark):
+    df = spark.createDataFrame([("a", None), ("b", T1)], "mjid string, at timestamp")
+    assert rows(latest_by_maxima(df, "mjid", {"at": None})) == Counter({("b", T1): 1})
+
+
+def test_argmax_keeps_ties(spark):
+    df = spark.createDataFrame(
+        [(1, 3, 100), (1, 3, 200), (1, 2, 300), (2, None, 1), (None, 9, 1)],
+        "operationalassetid int, tasksynclevel int, frequency int",
+    )
+    found = argmax_with_ties(df, "operationalassetid", "tasksynclevel")
+    assert rows(found) == Counter({(1, 3, 100): 1, (1, 3, 200): 1})
+
+
+def test_any_value_is_one_of_the_key(spark):
+    df = spark.createDataFrame([(1, "a"), (1, "b"), (2, None)], "k int, v string")
+    assert rows(any_value_per_key(df, "k", "v")) == Counter({(1, "b"): 1, (2, None): 1})
+
+
+def test_attributes_take_the_smallest_and_require_all(spark):
+    names = spark.createDataFrame(
+        [(1, "MAKE"), (2, "MODEL NO"), (3, "COLOUR")], "tableid int, tablename string"
+    )
+    cells = spark.createDataFrame(
+        [
+            (10, 1, "terex"), (10, 1, "mafi"), (10, 2, "m1"), (10, 3, "a"),
+            (20, 2, "m2"), (30, 1, "tug"), (40, 1, None), (40, 2, "m4"), (None, 1, "x"),
+            (None, 2, "y"),
+        ],
+        "keyid int, attributenameid int, datavalue string",
+    )
+    assert rows(attribute_columns(cells, names)) == Counter(
+        {(10, "mafi", "m1"): 1, (40, None, "m4"): 1, (None, "x", "y"): 1}
+    )
+
+
+ROVER = ", ".join(
+    f"{name} {'timestamp' if name.endswith('timestamp') else 'int' if name == 'flags' else 'string'}"
+    for name in refresh.ROVER_COLUMNS
+)
+VEHICLE = ", ".join(
+    f"{name} {'timestamp' if name.endswith('timestamp') else 'int' if name.endswith('id') and 'v' == name[0] else 'string'}"
+    for name in refresh.VEHICLE_COLUMNS
+)
+
+
+def staging(spark, schema, *records):
+    names = [part.split()[0] for part in schema.split(", ")]
+    data = [tuple(record.get(name) for name in names) + (record.get("op", "I"),) for record in records]
+    return spark.createDataFrame(data, f"{schema}, dboperationtype string")
+
+
+def test_rover_details_write_all_rows_or_the_latest(spark):
+    df = staging(
+        spark, ROVER,
+        {"mjid": "a", "lastdetailtimestamp": T1, "startuptimestamp": T1},
+        {"mjid": "a", "lastdetailtimestamp": T3},
+        {"mjid": "a", "lastdetailtimestamp": T3},
+        {"mjid": "b", "lastdetailtimestamp": T2, "startuptimestamp": T1},
+        {"mjid": "c", "startuptimestamp": T1},
+        {"mjid": "d", "lastdetailtimestamp": T2, "op": "D"},
+    )
+    every = refresh.rover_details(df).select("mjid", "startuptimestamp", "yrmon")
+    assert rows(every) == Counter(
+        {
+            ("a", T1, "201901"): 1, ("a", NEVER, "201911"): 1,
+            ("b", T1, "201903"): 1, ("c", T1, "190001"): 1,
+        }
+    )
+    latest = refresh.rover_details(df, latest_only=True).select("mjid", "yrmon", "sourcesystemtimestamp")
+    assert rows(latest) == Counter({("b", "201903", datetime(2019, 3, 4, 19)): 1})
+
+
+def test_vehicle_details_default_missing_times(spark):
+    df = staging(
+        spark, VEHICLE,
+        {"mjid": "a", "lastdetailtimestamp": T1, "vehicletypeid": 7},
+        {"mjid": "a", "lastdetailtimestamp": T2, "vehicletypeid": 8},
+        {"mjid": "b"},
+    )
+    found = refresh.vehicle_details(df).select(
+        "mjid", "lastdetailtimestamp", "lastfueltimestamp", "vehicletypeid", "vehiclesubtypeid", "yrmon"
+    )
+    assert rows(found) == Counter(
+        {
+            ("a", T2, NEVER, 8, 0, "201903"): 1,
+            ("b", NEVER, NEVER, None, 0, "190001"): 1,
+        }
+    )
+    assert refresh.vehicle_details(df, latest_only=False).count() == 3
+
+
+def test_map_data_without_type_is_left_out(spark):
+    columns = ["sourcesystem", *refresh.DIMENSIONS["mapdata"]]
+    schema = ", ".join(f"`{name}` int" for name in columns)
+    df = spark.createDataFrame([(1,) * len(columns), (1, None) + (1,) * (len(columns) - 2)], schema)
+    df = df.select("*", F.lit(T1).alias("audtdateadded"), F.lit("I").alias("dboperationtype"))
+    assert refresh.dimension(df, "mapdata").count() == 1
