@@ -1,20 +1,30 @@
-"""Finding the few groups too large for one task."""
+"""Groups too large for one task, and a join that splits them.
+
+Spark's adaptive execution splits a large group only where both sides of a join come
+straight from a shuffle. The join here does not depend on that: it looks the large groups up
+first and cuts them into parts of its own.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, functions as F
 
-from pyspark.sql import DataFrame, functions as F
+SPLITS, HASH, PART, SIDE = "_splits", "_hash", "_part", "_side"
 
-SPLITS = "_splits"
+# A group is split when it holds more than this share of its table, and this many rows.
+SHARE = 0.005
+MIN_ROWS = 100_000
 
 
 def heavy_groups(
     df: DataFrame,
     keys: Sequence[str],
     within: str,
-    share: float = 0.005,
-    min_rows: int = 100_000,
+    share: float = SHARE,
+    min_rows: int = MIN_ROWS,
 ) -> DataFrame:
     """Groups of `keys` with more than `share` of the rows of their `within`, and the parts to cut them into.
 
@@ -31,3 +41,64 @@ def heavy_groups(
         .where(F.col("_rows") > limit)
         .select(within, *keys, F.ceil(F.col("_rows") / limit).cast("int").alias(SPLITS))
     )
+
+
+def heavy_hashes(
+    sides: Sequence[DataFrame], share: float = SHARE, min_rows: int = MIN_ROWS
+) -> list[dict[int, int]]:
+    """Per side, a DataFrame of one hash column, its heavy hashes and the parts of each.
+
+    One job for all sides. At most `1 / share` hashes per side reach the driver, usually none.
+    """
+    tagged = [
+        hashes.select(F.lit(side).alias(SIDE), "*").toDF(SIDE, HASH)
+        for side, hashes in enumerate(sides)
+    ]
+    found: list[dict[int, int]] = [{} for _ in sides]
+    union = reduce(DataFrame.unionAll, tagged)
+    for row in heavy_groups(union, [HASH], SIDE, share, min_rows).collect():
+        found[row[SIDE]][row[HASH]] = row[SPLITS]
+    return found
+
+
+def row_hash(df: DataFrame) -> Column:
+    """Hash that differs between rows, and between copies of a row read by different tasks.
+
+    It depends on the row and the number of its partition only, so a repeated task deals its
+    rows out as before.
+    """
+    return F.xxhash64(*df.columns, F.spark_partition_id())
+
+
+def heavy_keys(
+    tables: Sequence[tuple[DataFrame, str]], share: float = SHARE, min_rows: int = MIN_ROWS
+) -> list[dict[int, int]]:
+    """`heavy_hashes` of one key column per table."""
+    return heavy_hashes([df.select(F.xxhash64(key)) for df, key in tables], share, min_rows)
+
+
+def split_join(
+    facts: DataFrame, other: DataFrame, key: str, heavy: dict[int, int], how: str = "inner"
+) -> DataFrame:
+    """Inner or left join on `key`, the heavy keys of `facts` dealt out over several tasks.
+
+    `heavy` comes from `heavy_keys`. Rows of `facts` with a heavy key get one of its parts,
+    matching rows of `other` are copied to each, and rows without a key are dealt out too.
+    """
+    if not heavy:
+        return facts.join(other, key, how)
+    parts = facts.sparkSession.createDataFrame(
+        list(heavy.items()), f"{HASH} bigint, {SPLITS} int"
+    )
+    splits = F.coalesce(F.col(SPLITS), F.lit(1))
+
+    def with_parts(df: DataFrame) -> DataFrame:
+        return df.withColumn(HASH, F.xxhash64(key)).join(F.broadcast(parts), HASH, "left")
+
+    dealt = with_parts(facts).select(
+        *facts.columns, F.pmod(row_hash(facts), splits).cast("int").alias(PART)
+    )
+    copied = with_parts(other).select(
+        *other.columns, F.explode(F.sequence(F.lit(0), splits - 1)).alias(PART)
+    )
+    return dealt.join(copied, [key, PART], how).drop(PART)

@@ -26,6 +26,7 @@ from haulmark.functions.text import (
 from haulmark.functions.timeops import days_between, safe_rate
 from haulmark.operators.attributes import ASSET_ATTRIBUTES, attribute_columns
 from haulmark.operators.latest import argmax_with_ties
+from haulmark.operators.skew import heavy_keys, split_join
 
 ASSET = "operationalassetid"
 
@@ -145,8 +146,9 @@ def pm_margin(
     usage = asset_usage(readings, assets, value, by=(), when="updatetime", whole_numbers=True)
     frequency = argmax_with_ties(task, ASSET, "tasksynclevel").select(ASSET, "frequency")
     days = F.col("daterange")
+    [heavy] = heavy_keys([(frequency, ASSET)])
     margins = (
-        usage.join(frequency, ASSET)
+        split_join(frequency, usage, ASSET, heavy)
         .withColumnRenamed("usage", "value")
         .withColumn("daterange", days_between("mindate", "maxdate"))
         .withColumn("estimated", F.round(safe_rate(days * F.col("frequency"), F.col("value")), 0))
@@ -223,7 +225,8 @@ def maintenance_timeline(
         .groupBy("operationalassetname")
         .agg(F.sum("_failures").cast("int").alias("_no_failures"))
     )
-    assets = assets.join(per_name, "operationalassetname", "left").withColumn(
+    heavy_name, heavy_asset = heavy_keys([(assets, "operationalassetname"), (orders, ASSET)])
+    assets = split_join(assets, per_name, "operationalassetname", heavy_name, "left").withColumn(
         "no_failures", F.coalesce(F.col("_no_failures"), F.lit(0))
     )
 
@@ -232,12 +235,11 @@ def maintenance_timeline(
         "no_failures",
     ]
     if margins is None:
-        return orders.join(assets, ASSET).select(*columns)
-    assets = assets.join(margins.select(ASSET, "pm_margin_days"), ASSET)
-    return (
-        orders.where(F.col("type") != UNLABELLED)
-        .join(assets, ASSET)
-        .select(*columns, F.lit(None).cast("boolean").alias("done"))
+        return split_join(orders, assets, ASSET, heavy_asset).select(*columns)
+    assets = assets.join(margins.select(ASSET), ASSET)
+    labelled = orders.where(F.col("type") != UNLABELLED)
+    return split_join(labelled, assets, ASSET, heavy_asset).select(
+        *columns, F.lit(None).cast("boolean").alias("done")
     )
 
 
@@ -374,11 +376,14 @@ def failures_by_make_model(
             F.sum("_orders").alias(orders_name),
         )
 
-    described = (
-        assets.join(counts("make", "countofassetmakes", "countofmakesinworkorders"), "make", "left")
-        .join(counts("makenmod", "countofassetmodels", "countofmodels"), "makenmod", "left")
+    by_make = counts("make", "countofassetmakes", "countofmakesinworkorders")
+    by_model = counts("makenmod", "countofassetmodels", "countofmodels")
+    heavy_make, heavy_model, heavy_asset = heavy_keys(
+        [(assets, "make"), (assets, "makenmod"), (orders, ASSET)]
     )
-    return orders.join(described, ASSET).select(
+    described = split_join(assets, by_make, "make", heavy_make, "left")
+    described = split_join(described, by_model, "makenmod", heavy_model, "left")
+    return split_join(orders, described, ASSET, heavy_asset).select(
         ASSET, "operationalassetname", "make", "model", "year", "causeoffaultdescription",
         "makenmod", "worktypename", "countofassetmakes", "countofmakesinworkorders",
         "countofmodels", "countofassetmodels", "sortkeyname",
@@ -450,6 +455,9 @@ def fault_causes(
 ) -> DataFrame:
     """Failures with a cause, for every qualifying asset; an asset without any gets one row.
 
+    A right outer join, taken as an inner join and the assets it leaves out, since an outer
+    join cannot split an asset with very many failures.
+
     `failure_name` is the column the name exclusion applies to on the failure side.
     """
     keyed = with_sort_key(asset, codes)
@@ -457,20 +465,25 @@ def fault_causes(
         F.col("tableid").alias(cause_key),
         F.col("tabledescription").alias("causeoffaultdescription"),
     ).where(not_null_text("causeoffaultdescription"))
-    viewed = with_view(asset, view).join(keyed.select(ASSET), ASSET)
-    viewed = viewed.where(excludes_all(failure_name, name_parts))
-    failures = (
-        typed_orders(workorder, worktype, type_key)
-        .where(F.col("worktypecategory") == FAILURE)
-        .join(causes, cause_key)
-        .join(viewed.select(ASSET, "operationalviewname"), ASSET)
-        .select(ASSET, "causeoffaultdescription", "operationalviewname", "worktypecategory")
-    )
+    # Only assets of the report get failures, so the two asset sides meet first.
+    viewed = with_view(asset, view).where(excludes_all(failure_name, name_parts))
     assets = qualifying(keyed, sort_keys, name_parts).select(
         ASSET, F.col("operationalassetname").alias("name"),
         F.col("installdate").alias("year"), "sortkeyname",
     )
-    return failures.join(assets, ASSET, "right").select(
+    orders = (
+        typed_orders(workorder, worktype, type_key)
+        .where(F.col("worktypecategory") == FAILURE)
+        .select(ASSET, cause_key, "worktypecategory")
+    )
+    heavy_cause, heavy_asset = heavy_keys([(orders, cause_key), (orders, ASSET)])
+    failures = split_join(orders, causes, cause_key, heavy_cause)
+    located = viewed.select(ASSET, "operationalviewname").join(assets, ASSET)
+    found = split_join(failures, located, ASSET, heavy_asset)
+    spared = assets.join(
+        failures.select(ASSET).distinct().join(viewed.select(ASSET), ASSET), ASSET, "left_anti"
+    )
+    return found.unionByName(spared, allowMissingColumns=True).select(
         ASSET, "name", "causeoffaultdescription", "operationalviewname", "worktypecategory",
         "year", "sortkeyname",
     )

@@ -170,4 +170,5 @@ def survival_by_make_site(
     if name_parts is not None:
         keyed = keyed.where(excludes_all("operationalassetname", name_parts))
     details = sites.join(keyed.select(ASSET, "sortkeyname"), ASSET)
-    return survival.join(details, ASSET).drop(ASSET).distinct()
+    # Distinct rows of one asset are few, whatever the number of its failures.
+    return survival.distinct().join(details, ASSET).drop(ASSET).distinct()
