@@ -52,7 +52,7 @@ def survival_dataset(
     orders = (
         typed_orders(workorder, worktype, type_key)
         .where(F.col("raisedate") >= F.lit(first_raised))
-        .where(F.col("worktypecategory").isin(FAILURE, MAINTENANCE))
+        .where(F.col("worktypecategory").isin(FAILURE, MAINTENANCE) & F.col(ASSET).isNotNull())
         .select(
             ASSET,
             "workorderid",
@@ -70,16 +70,17 @@ def survival_dataset(
     )
     first_day, last_day = bounds["first"], bounds["last"]
 
-    # One row per asset and day; maintenance without a finish date falls on a null day.
+    # One row per asset and day, shuffled once for both uses below; maintenance without a
+    # finish date falls on a null day and is not counted.
     days = orders.groupBy(
         ASSET, F.when(F.col("failed"), F.col("raised")).otherwise(F.col("finished")).alias("day")
     ).agg(
         F.min(F.when(F.col("failed"), F.col("workorderid"))).alias("first_order"),
-        F.count(F.when(~F.col("failed"), True)).alias("maintained"),
+        F.count(F.when(~F.col("failed"), F.col("finished"))).alias("maintained"),
     )
     failed_day = F.when(F.col("first_order").isNotNull(), F.col("day"))
     order = Window.partitionBy(ASSET).orderBy("day")
-    history = days.where(F.col("day").isNotNull()).select(
+    history = days.select(
         ASSET,
         "day",
         "first_order",

@@ -3,7 +3,13 @@
 from __future__ import annotations
 
 HOUR, DAY = "INTERVAL 1 HOUR", "INTERVAL 1 DAY"
-NEW_YORK = "((ts AT TIME ZONE 'UTC') AT TIME ZONE 'America/New_York')"
+
+
+def _local(column: str) -> str:
+    return f"(({column} AT TIME ZONE 'UTC') AT TIME ZONE 'America/New_York')"
+
+
+NEW_YORK = _local("ts")
 
 
 def _kind(alias: str, kind: str) -> str:
@@ -188,6 +194,12 @@ survival AS (
     FROM all_rows r JOIN asset a ON a.operationalassetid = r.operationalassetid
     WHERE installdate IS NOT NULL)"""
 
+MACHINES = """WITH machine AS (
+    SELECT o_custkey AS mjid, o_orderkey AS chid, o_orderpriority AS sourcesystem,
+           CASE WHEN o_orderstatus <> 'P' THEN o_orderdate END AS detail,
+           o_orderdate AS startuptimestamp, CAST(month(o_orderdate) AS INTEGER) AS vehiclesubtypeid
+    FROM orders WHERE o_orderpriority <> '5-LOW')"""
+
 STAGING = f"""WITH staging AS (
     SELECT event_id, ts, user_id, event_type, value,
            CASE WHEN event_type = 'error' THEN 'D' WHEN event_type = 'click' THEN 'U'
@@ -439,6 +451,53 @@ ORACLE: dict[str, str] = {
         SELECT DISTINCT fail, age_days, sincefailure_days, operationalassetname,
                cumulative_maintenance, operationalviewname, make, sortkeyname
         FROM survival JOIN sites USING (operationalassetid)""",
+    "equi_join_split_keys": """
+        SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, l_returnflag,
+               CASE l_returnflag WHEN 'R' THEN 'FAIL' WHEN 'A' THEN 'SCH' ELSE 'OTHER' END AS name,
+               CASE l_returnflag WHEN 'R' THEN 'Failure' WHEN 'A' THEN 'Maintenance'
+                    ELSE 'Inspection' END AS category, p_name
+        FROM lineitem JOIN part ON p_partkey = l_partkey""",
+    "tombstone_filter": f"""{STAGING}
+        SELECT event_id, dboperationtype FROM staging WHERE dboperationtype <> 'D'""",
+    "two_level_watermark": f"""{STAGING},
+        target AS (SELECT * FROM staging WHERE ts < TIMESTAMP '2024-01-20'),
+        d AS (SELECT max(sourcesystemdate) AS newest FROM target
+              WHERE sourcesystemdate <= DATE '2024-01-18')
+        SELECT max(ts) AS newest_time, max(newest) AS newest_date
+        FROM target JOIN d ON sourcesystemdate = newest""",
+    "tracker_watermark": """
+        SELECT max(ts) AS rovertimestamp FROM events WHERE event_type = 'click'""",
+    "fixed_date_cutoff": f"""{TELEMETRY},
+        recent AS (SELECT *, CAST(ts AS DATE) AS sourcesystemdate FROM pos
+                   WHERE ts >= TIMESTAMP '2024-01-16')
+        SELECT recent.*, fuel.event_id AS fuel_id, fuel.ts AS fuel_ts FROM recent
+        LEFT JOIN fuel ON fuel.mjid = recent.mjid AND fuel.chid = recent.chid
+          AND fuel.ts >= TIMESTAMP '2024-01-16' AND fuel.ts <= recent.ts
+          AND fuel.ts >= recent.ts - INTERVAL 1 DAY""",
+    "vehicle_details": f"""{MACHINES}
+        SELECT DISTINCT r.mjid, r.chid, r.sourcesystem, r.lastdetailtimestamp,
+               TIMESTAMP '1900-01-01' AS lastfueltimestamp, r.vehiclesubtypeid,
+               strftime(r.lastdetailtimestamp, '%Y%m') AS yrmon
+        FROM (SELECT mjid, chid, sourcesystem, vehiclesubtypeid,
+                     coalesce(detail, TIMESTAMP '1900-01-01') AS lastdetailtimestamp FROM machine) r
+        JOIN (SELECT mjid, coalesce(max(detail), TIMESTAMP '1900-01-01') AS d,
+                     max(vehiclesubtypeid) AS v FROM machine GROUP BY mjid) m
+          ON m.mjid = r.mjid AND d = lastdetailtimestamp AND v = vehiclesubtypeid""",
+    "rover_details": f"""{MACHINES}
+        SELECT DISTINCT mjid, chid, sourcesystem, detail AS lastdetailtimestamp, startuptimestamp,
+               strftime(coalesce(detail, TIMESTAMP '1900-01-01'), '%Y%m') AS yrmon,
+               {_local('detail')} AS sourcesystemtimestamp
+        FROM machine""",
+    "rover_details_latest": f"""{MACHINES}
+        SELECT DISTINCT r.mjid, chid, sourcesystem, detail AS lastdetailtimestamp, startuptimestamp,
+               strftime(detail, '%Y%m') AS yrmon, {_local('detail')} AS sourcesystemtimestamp
+        FROM machine r
+        JOIN (SELECT mjid, max(detail) AS d, max(startuptimestamp) AS s
+              FROM machine GROUP BY mjid) m
+          ON m.mjid = r.mjid AND d = detail AND s = startuptimestamp""",
+    "dimension_required": """
+        SELECT o_orderpriority AS maptypeid, o_orderstatus, max(o_orderdate) AS o_orderdate
+        FROM orders WHERE o_orderstatus <> 'P' AND o_orderpriority IS NOT NULL GROUP BY 1, 2""",
     "union_missing_columns": """
         SELECT event_id, ts AS raised, CAST(NULL AS TIMESTAMP) AS finished,
                CAST(NULL AS DOUBLE) AS value FROM events WHERE event_type = 'error'

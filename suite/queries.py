@@ -15,12 +15,14 @@ from haulmark.operators.interval_join import Lookback, interval_join, lookback_j
 from haulmark.operators.latest import (
     any_value_per_key,
     argmax_with_ties,
+    drop_tombstones,
     latest_by_maxima,
     snapshot_dimension,
 )
-from haulmark.plans import maintenance, survival
-from haulmark.plans.incremental import incremental_delta, rows_after
-from haulmark.plans.telemetry import enrich_positions, newer_than
+from haulmark.operators.skew import heavy_keys, split_join
+from haulmark.plans import maintenance, refresh, survival
+from haulmark.plans.incremental import incremental_delta, newest_date, newest_time, rows_after
+from haulmark.plans.telemetry import enrich_positions, flat_file_since, newer_than
 from haulmark.sources.tracker import ingestion_audit, last_ingested
 from suite import standins as s
 
@@ -378,6 +380,107 @@ def q_survival_by_make_site(spark, sf):
     )
 
 
+def q_equi_join_split_keys(spark, sf):
+    lines = s.table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_returnflag"
+    )
+    types = s.line_types(spark, sf).withColumnRenamed("worktypeid", "l_returnflag")
+    parts = s.table(spark, sf, "part").select(F.col("p_partkey").alias("l_partkey"), "p_name")
+    heavy_flag, heavy_part = heavy_keys(
+        [(lines, "l_returnflag"), (lines, "l_partkey")], share=0.0005, min_rows=5
+    )
+    typed = split_join(lines, types, "l_returnflag", heavy_flag)
+    return split_join(typed, parts, "l_partkey", heavy_part)
+
+
+def q_tombstone_filter(spark, sf):
+    return drop_tombstones(_staging(spark, sf)).select("event_id", "dboperationtype")
+
+
+def q_two_level_watermark(spark, sf):
+    target = _target(spark, sf, "2024-01-20")
+    newest = newest_date(target, "sourcesystemdate", today=F.lit(date(2024, 1, 18)))
+    latest = newest_time(target, "sourcesystemdate", "ts", newest)
+    return latest.select(F.col("ts").alias("newest_time"), newest.scalar().alias("newest_date"))
+
+
+def q_tracker_watermark(spark, sf):
+    audits = [
+        ingestion_audit(s.telemetry(spark, sf, kind), kind, "ts", date(2024, 2, 1))
+        for kind in ("view", "click")
+    ]
+    start = F.lit("2018-08-01").cast("timestamp_ntz")
+    tracker = audits[0].unionByName(audits[1])
+    return last_ingested(tracker, "click", start)
+
+
+def q_fixed_date_cutoff(spark, sf):
+    positions = _positions(spark, sf).withColumn("sourcesystemdate", F.col("ts").cast("date"))
+    fuel = s.telemetry(spark, sf, "purchase").withColumn(
+        "sourcesystemdate", F.col("ts").cast("date")
+    )
+    columns = {"fuel_id": "event_id", "fuel_ts": "ts"}
+    recent, lookbacks = flat_file_since(
+        positions, [Lookback(fuel, MACHINE, "ts", DAY, columns)], date(2024, 1, 16)
+    )
+    return lookback_joins(recent, "ts", lookbacks)
+
+
+def _vehicle_staging(spark, sf, names, given):
+    """Orders as vehicle or rover records: one machine per customer, the columns of `given` filled."""
+    deleted = F.when(F.col("o_orderpriority") == "5-LOW", "D").otherwise("I")
+    columns = [given.get(name, F.lit(None).cast("string")).alias(name) for name in names]
+    return s.table(spark, sf, "orders").select(*columns, deleted.alias("dboperationtype"))
+
+
+def _machine_columns():
+    dated = F.col("o_orderdate")
+    return {
+        "mjid": F.col("o_custkey"),
+        "chid": F.col("o_orderkey"),
+        "sourcesystem": F.col("o_orderpriority"),
+        "lastdetailtimestamp": F.when(F.col("o_orderstatus") != "P", dated),
+    }
+
+
+def q_vehicle_details(spark, sf):
+    never = F.lit(None).cast("timestamp_ntz")
+    given = {name: never for name in refresh.VEHICLE_COLUMNS if name.endswith("timestamp")}
+    given |= _machine_columns() | {"vehiclesubtypeid": F.month("o_orderdate")}
+    found = refresh.vehicle_details(_vehicle_staging(spark, sf, refresh.VEHICLE_COLUMNS, given))
+    return found.select(
+        "mjid", "chid", "sourcesystem", "lastdetailtimestamp", "lastfueltimestamp",
+        "vehiclesubtypeid", "yrmon",
+    )
+
+
+def _rover_details(spark, sf, latest_only):
+    given = _machine_columns() | {"startuptimestamp": F.col("o_orderdate")}
+    rows = _vehicle_staging(spark, sf, refresh.ROVER_COLUMNS, given)
+    return refresh.rover_details(rows, latest_only).select(
+        "mjid", "chid", "sourcesystem", "lastdetailtimestamp", "startuptimestamp", "yrmon",
+        "sourcesystemtimestamp",
+    )
+
+
+def q_rover_details(spark, sf):
+    return _rover_details(spark, sf, latest_only=False)
+
+
+def q_rover_details_latest(spark, sf):
+    return _rover_details(spark, sf, latest_only=True)
+
+
+def q_dimension_required(spark, sf):
+    dated = F.when(F.col("o_orderstatus") != "P", F.col("o_orderpriority"))
+    orders = s.table(spark, sf, "orders").select(
+        dated.alias("maptypeid"), "o_orderstatus", "o_orderdate"
+    )
+    return snapshot_dimension(
+        orders, ["maptypeid", "o_orderstatus"], "o_orderdate", not_null=["maptypeid"]
+    )
+
+
 def q_union_missing_columns(spark, sf):
     events = s.table(spark, sf, "events")
     raised = events.where(F.col("event_type") == "error").select(

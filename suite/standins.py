@@ -149,10 +149,10 @@ def customer_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def customer_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The segment as make, in blanks; customers of one nation have none."""
-    return table(spark, sf_dir, "customer").where(F.col("c_nationkey") != 9).select(
+    """The segment as make, in blanks; customers of one nation have another attribute instead."""
+    return table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("keyid"),
-        F.lit(23).alias("attributenameid"),
+        F.when(F.col("c_nationkey") == 9, 22).otherwise(23).alias("attributenameid"),
         F.concat(F.lit(" "), "c_mktsegment", F.lit(" ")).alias("datavalue"),
     )
 
