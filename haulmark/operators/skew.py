@@ -14,9 +14,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 SPLITS, HASH, PART, SIDE = "_splits", "_hash", "_part", "_side"
 
-# A group is split when it holds more than this share of its table, and this many rows.
-SHARE = 0.005
-MIN_ROWS = 100_000
+# A group is split when it holds more than this share of its table, about the share of one
+# of 4,000 cores, and more than this many rows, which one task handles with ease.
+SHARE = 1 / 4000
+MIN_ROWS = 1_000_000
 
 
 def heavy_groups(

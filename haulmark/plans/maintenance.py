@@ -146,7 +146,7 @@ def pm_margin(
     usage = asset_usage(readings, assets, value, by=(), when="updatetime", whole_numbers=True)
     frequency = argmax_with_ties(task, ASSET, "tasksynclevel").select(ASSET, "frequency")
     days = F.col("daterange")
-    [heavy] = heavy_keys([(frequency, ASSET)])
+    [heavy] = heavy_keys([(task, ASSET)])
     margins = (
         split_join(frequency, usage, ASSET, heavy)
         .withColumnRenamed("usage", "value")
@@ -200,9 +200,6 @@ def maintenance_timeline(
         F.max("operationalassetname").alias("operationalassetname"),
         F.max("operationalviewname").alias("operationalviewname"),
     )
-    # An asset with an excluded sort key keeps its rows and loses its names.
-    assets = viewed.select(ASSET).join(names, ASSET, "left")
-
     failed = F.col("worktypecategory") == FAILURE
     at = F.when(failed, F.col("raisedate")).otherwise(F.col("finishdate"))
     label = (
@@ -220,13 +217,16 @@ def maintenance_timeline(
         F.count(F.lit(1)).alias("_failures")
     )
     per_name = (
-        assets.where(F.col("operationalassetname").isNotNull())
+        viewed.select(ASSET)
+        .join(names, ASSET)
         .join(failures, ASSET)
         .groupBy("operationalassetname")
         .agg(F.sum("_failures").cast("int").alias("_no_failures"))
     )
-    heavy_name, heavy_asset = heavy_keys([(assets, "operationalassetname"), (orders, ASSET)])
-    assets = split_join(assets, per_name, "operationalassetname", heavy_name, "left").withColumn(
+    heavy_name, heavy_asset = heavy_keys([(asset, "operationalassetname"), (workorder, ASSET)])
+    counted = split_join(names, per_name, "operationalassetname", heavy_name, "left")
+    # An asset with an excluded sort key keeps its rows and loses its names.
+    assets = viewed.select(ASSET).join(counted, ASSET, "left").withColumn(
         "no_failures", F.coalesce(F.col("_no_failures"), F.lit(0))
     )
 
@@ -379,7 +379,7 @@ def failures_by_make_model(
     by_make = counts("make", "countofassetmakes", "countofmakesinworkorders")
     by_model = counts("makenmod", "countofassetmodels", "countofmodels")
     heavy_make, heavy_model, heavy_asset = heavy_keys(
-        [(assets, "make"), (assets, "makenmod"), (orders, ASSET)]
+        [(assets, "make"), (assets, "makenmod"), (workorder, ASSET)]
     )
     described = split_join(assets, by_make, "make", heavy_make, "left")
     described = split_join(described, by_model, "makenmod", heavy_model, "left")
@@ -476,7 +476,7 @@ def fault_causes(
         .where(F.col("worktypecategory") == FAILURE)
         .select(ASSET, cause_key, "worktypecategory")
     )
-    heavy_cause, heavy_asset = heavy_keys([(orders, cause_key), (orders, ASSET)])
+    heavy_cause, heavy_asset = heavy_keys([(workorder, cause_key), (workorder, ASSET)])
     failures = split_join(orders, causes, cause_key, heavy_cause)
     located = viewed.select(ASSET, "operationalviewname").join(assets, ASSET)
     found = split_join(failures, located, ASSET, heavy_asset)
