@@ -8,7 +8,7 @@ report joins its large table once. Sums and counts are taken per task before any
 from __future__ import annotations
 
 from bisect import bisect_left
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -250,30 +250,33 @@ def pm_schedule(margins: DataFrame) -> DataFrame:
     return margins.where(F.col("estimated") >= 1).withColumn("due", F.explode(due))
 
 
-def _served(due: list, until: list, scheduled: list, dates: list, free: list) -> list[int]:
-    """Per due date, in order of its limit, how many take an unused completion up to the limit."""
-    free = list(free)
-    met = [0] * len(due)
-    for i in sorted(range(len(due)), key=lambda i: (until[i], due[i])):
-        at = bisect_left(dates, due[i])
-        while met[i] < scheduled[i] and at < len(dates) and dates[at] <= until[i]:
-            taken = min(free[at], scheduled[i] - met[i])
-            free[at] -= taken
-            met[i] += taken
-            at += 1
-    return met
+def _served_counts() -> Callable[..., Column]:
+    """Function of per-asset lists: how many of each due date take an unused completion in time.
 
+    Built inside a function, so that tasks need nothing of this package.
+    """
 
-@F.pandas_udf(T.ArrayType(T.LongType()))
-def _served_counts(
-    due: pd.Series, until: pd.Series, scheduled: pd.Series, dates: pd.Series, free: pd.Series
-) -> pd.Series:
-    return pd.Series(
-        [
-            _served(*[[] if days is None else list(days) for days in asset])
-            for asset in zip(due, until, scheduled, dates, free)
-        ]
-    )
+    def served(due: list, until: list, scheduled: list, dates: list, free: list) -> list[int]:
+        met = [0] * len(due)
+        for i in sorted(range(len(due)), key=lambda i: (until[i], due[i])):
+            at = bisect_left(dates, due[i])
+            while met[i] < scheduled[i] and at < len(dates) and dates[at] <= until[i]:
+                taken = min(free[at], scheduled[i] - met[i])
+                free[at] -= taken
+                met[i] += taken
+                at += 1
+        return met
+
+    @F.pandas_udf(T.ArrayType(T.LongType()))
+    def counts(
+        due: pd.Series, until: pd.Series, scheduled: pd.Series, dates: pd.Series, free: pd.Series
+    ) -> pd.Series:
+        assets = zip(due, until, scheduled, dates, free)
+        return pd.Series(
+            [served(*[[] if days is None else list(days) for days in asset]) for asset in assets]
+        )
+
+    return counts
 
 
 def pm_compliance(
@@ -307,7 +310,7 @@ def pm_compliance(
     matched = by_asset(wanted, "due", "until", "scheduled").join(
         by_asset(done, "date", "free"), ASSET, "left"
     )
-    met = _served_counts("due", "until", "scheduled", "date", "free")
+    met = _served_counts()("due", "until", "scheduled", "date", "free")
     rows = matched.withColumn("met", met).select(
         ASSET, F.inline(F.arrays_zip("due", "until", "scheduled", "met"))
     )

@@ -44,11 +44,11 @@ def test_lookbacks_on_the_same_keys_share_one_shuffle_of_the_events(spark):
     keys = ("mjid", "chid")
     lookbacks = [
         queries._lookback(spark, SF_DIR, kind, keys, seconds, kind)
-        for kind, seconds in (("click", 3600), ("purchase", 86400), ("error", 600))
+        for kind, seconds in (("click", 3600), ("purchase", 86400), ("error", 900), ("signup", 2000))
     ]
     text = plan(queries.lookback_joins(positions, "ts", lookbacks))
-    assert len(re.findall(r"Exchange hashpartitioning\(mjid", text)) == 1
-    assert len(re.findall(r"Exchange hashpartitioning\(_r_mjid", text)) == 3
+    assert len(re.findall(r"Exchange hashpartitioning\(mjid", text)) == 2
+    assert len(re.findall(r"Exchange hashpartitioning\(_r_mjid", text)) == 4
 
 
 def test_watermarks_prune_the_target_and_reach_the_staging_scan(spark, tmp_path):
