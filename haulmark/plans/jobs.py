@@ -27,9 +27,11 @@ DELTA_EVENT_TIME = {
     "tiredetail": "servertimestamp",
 }
 
-# First partition date of the rebuilt flat file, and name of the flat file.
+# Fixed value: first partition date of the rebuilt flat file.
 FLAT_FILE_START = date(2018, 8, 1)
-FLAT_FILE = "pdsdataextraction"
+
+# Table of the flat file, and its name in the tracker, unless the caller gives another.
+FLAT_FILE = "flat_file"
 
 
 def run_delta(
@@ -74,17 +76,21 @@ def _flat_file_inputs(spark: SparkSession, database: str, positions: str, tires:
 
 
 def run_flat_file(
-    spark: SparkSession, database: str, path: str, default: date = HISTORY_START
+    spark: SparkSession,
+    database: str,
+    path: str,
+    default: date = HISTORY_START,
+    table: str = FLAT_FILE,
 ) -> None:
     """Append the flat-file rows newer than the flat file itself, with tire readings."""
     positions, latch_types, vehicle_types, lookbacks = _flat_file_inputs(
         spark, database, "positionenh", tires=True
     )
-    target = catalog_table(spark, database, FLAT_FILE)
+    target = catalog_table(spark, database, table)
     positions, lookbacks = telemetry.newer_than_target(positions, lookbacks, target, default)
     rows = telemetry.flat_file(positions, latch_types, vehicle_types, lookbacks)
     write_partitioned(rows, path, "sourcesystemdate", "append")
-    register_partitions(spark, database, FLAT_FILE)
+    register_partitions(spark, database, table)
 
 
 def run_tracked_flat_file(
@@ -94,17 +100,18 @@ def run_tracked_flat_file(
     tracker_path: str,
     default: date = date(2018, 8, 1),
     today: date | None = None,
+    source: str = FLAT_FILE,
 ) -> DataFrame:
     """Append the flat-file rows newer than the tracker, and add the run to the tracker."""
     positions, latch_types, vehicle_types, lookbacks = _flat_file_inputs(
         spark, database, "positionenh", tires=False
     )
     start = F.lit(default).cast(positions.schema["rovertimestamp"].dataType)
-    watermark = last_ingested(spark.read.parquet(tracker_path), FLAT_FILE, start)
+    watermark = last_ingested(spark.read.parquet(tracker_path), source, start)
     positions, lookbacks = telemetry.newer_than(positions, lookbacks, watermark)
     rows = telemetry.flat_file(positions, latch_types, vehicle_types, lookbacks)
     return write_with_audit(
-        rows, path, "sourcesystemdate", tracker_path, FLAT_FILE, today=today
+        rows, path, "sourcesystemdate", tracker_path, source, today=today
     )
 
 
