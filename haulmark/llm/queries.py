@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haulmark.llm import chat, sharding
+from haulmark.llm import chat, quality, sharding, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -50,6 +50,29 @@ def op1_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint of every document and the smallest document reachable over near fingerprints."""
+    found = simhash.near_duplicates(_table(spark, sf_dir, "documents"), shingle=3, distance=2)
+    return found.select("doc_id", simhash.hexadecimal(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+def op8_quality_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of every document, the base rules, and the verdict of the voting rules."""
+    found = quality.score_quality(_table(spark, sf_dir, "documents"))
+    failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        failed.alias("base_failed"),
+        (~failed & (F.col("quality") >= 0.5)).alias("kept"),
+        "quality",
+    )
+
+
 def op10_hash_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 40 shards by the hash tree, and their shards with one more."""
     tree = sharding.even_tree(40)
@@ -68,6 +91,8 @@ def op10_hash_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_chat_windows": op1_chat_windows,
+    "op2_simhash_components": op2_simhash_components,
+    "op8_quality_votes": op8_quality_votes,
     "op10_hash_tree": op10_hash_tree,
 }
 ORACLE: dict[str, str] = {}
