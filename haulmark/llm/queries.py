@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haulmark.llm import chat, quality, sharding, simhash
+from haulmark.llm import chat, quality, sharding, simhash, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -56,6 +56,18 @@ def op2_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hexadecimal(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document; a quarter of the labels is held out."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = toxicity.score_documents(docs, _table(spark, sf_dir, "labels"))
+    return found.select(
+        "doc_id",
+        toxicity.held_out(F.col("doc_id")).alias("held_out"),
+        F.col("toxicity").alias("score"),
+        (F.col("toxicity") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
 def op8_quality_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts of every document, the base rules, and the verdict of the voting rules."""
     found = quality.score_quality(_table(spark, sf_dir, "documents"))
@@ -92,6 +104,7 @@ def op10_hash_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_chat_windows": op1_chat_windows,
     "op2_simhash_components": op2_simhash_components,
+    "op3_toxicity": op3_toxicity,
     "op8_quality_votes": op8_quality_votes,
     "op10_hash_tree": op10_hash_tree,
 }
