@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haulmark.llm import chat, quality, sharding, simhash, toxicity
+from haulmark.llm import chat, pii, quality, sharding, simhash, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -68,6 +68,12 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document: base spans, and all spans with those that the labelers add."""
+    found = pii.find_personal_data(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans")
+
+
 def op8_quality_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts of every document, the base rules, and the verdict of the voting rules."""
     found = quality.score_quality(_table(spark, sf_dir, "documents"))
@@ -105,6 +111,7 @@ QUERIES: dict[str, Query] = {
     "op1_chat_windows": op1_chat_windows,
     "op2_simhash_components": op2_simhash_components,
     "op3_toxicity": op3_toxicity,
+    "op4_personal_data": op4_personal_data,
     "op8_quality_votes": op8_quality_votes,
     "op10_hash_tree": op10_hash_tree,
 }
