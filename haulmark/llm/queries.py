@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haulmark.llm import chat, pii, quality, sharding, simhash, toxicity
+from haulmark.llm import chat, pii, quality, sharding, simhash, topk, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -74,6 +74,13 @@ def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans")
 
 
+def op7_voronoi_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best partners, by integer inner product, of every fiftieth vector among all others."""
+    vectors = _table(spark, sf_dir, "embeddings").filter(topk.usable(F.col("embedding")))
+    vectors = vectors.select("vec_id", topk.quantised(F.col("embedding")).alias("vector"))
+    return topk.top_k(vectors, F.col("vec_id") % 50 == 0, k=5)
+
+
 def op8_quality_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts of every document, the base rules, and the verdict of the voting rules."""
     found = quality.score_quality(_table(spark, sf_dir, "documents"))
@@ -112,7 +119,25 @@ QUERIES: dict[str, Query] = {
     "op2_simhash_components": op2_simhash_components,
     "op3_toxicity": op3_toxicity,
     "op4_personal_data": op4_personal_data,
+    "op7_voronoi_top_k": op7_voronoi_top_k,
     "op8_quality_votes": op8_quality_votes,
     "op10_hash_tree": op10_hash_tree,
 }
-ORACLE: dict[str, str] = {}
+
+ORACLE: dict[str, str] = {
+    "op7_voronoi_top_k": """
+        WITH v AS (
+            SELECT vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) for x in embedding] AS e
+            FROM embeddings
+            WHERE embedding IS NOT NULL
+              AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
+        ), p AS (
+            SELECT q.vec_id AS query_id, d.vec_id AS vec_id,
+                   CAST(list_sum([q.e[i] * d.e[i] for i in range(1, len(q.e) + 1)]) AS BIGINT) AS score
+            FROM v q JOIN v d ON q.vec_id <> d.vec_id
+            WHERE q.vec_id % 50 = 0
+        ), r AS (
+            SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM p
+        )
+        SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5""",
+}
