@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haulmark.llm import chat, pii, quality, sharding, simhash, topk, toxicity
+from haulmark.llm import chat, linededup, pii, quality, sharding, simhash, topk, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -98,6 +98,12 @@ def op8_quality_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents less the runs of lines that repeat earlier ones."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return linededup.remove_repeated_runs(docs)
+
+
 def op10_hash_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 40 shards by the hash tree, and their shards with one more."""
     tree = sharding.even_tree(40)
@@ -121,6 +127,7 @@ QUERIES: dict[str, Query] = {
     "op4_personal_data": op4_personal_data,
     "op7_voronoi_top_k": op7_voronoi_top_k,
     "op8_quality_votes": op8_quality_votes,
+    "op9_line_runs": op9_line_runs,
     "op10_hash_tree": op10_hash_tree,
 }
 
