@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haulmark.llm import chat, linededup, pii, quality, sharding, simhash, topk, toxicity
+from haulmark.llm import chat, linededup, mixing, pieces, pii, quality, sharding, simhash, topk, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -74,6 +74,24 @@ def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans")
 
 
+def op5_temperature_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents mixed to near equal sources: which are read in which epoch, and where in the order."""
+    mixed = mixing.mix(_table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "source", "mix_tokens", "mix_epoch", "mix_position")
+
+
+#: Vocabulary files of public tokenizers.
+TOKENIZERS = "/opt/tokenizers"
+
+
+def op6_viterbi_pieces(spark: SparkSession, sf_dir: str, model: str = f"{TOKENIZERS}/piece_bpe_32k.model") -> DataFrame:
+    """Piece ids of every document, and whether decoding them gives the text back."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = docs.withColumn("ids", pieces.encode(spark, F.col("text"), model))
+    same = pieces.decode(spark, F.col("ids"), model) == F.coalesce("text", F.lit(""))
+    return docs.select("doc_id", F.size("ids").alias("n_tokens"), "ids", same.alias("round_trip"))
+
+
 def op7_voronoi_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five best partners, by integer inner product, of every fiftieth vector among all others."""
     vectors = _table(spark, sf_dir, "embeddings").filter(topk.usable(F.col("embedding")))
@@ -125,6 +143,8 @@ QUERIES: dict[str, Query] = {
     "op2_simhash_components": op2_simhash_components,
     "op3_toxicity": op3_toxicity,
     "op4_personal_data": op4_personal_data,
+    "op5_temperature_mix": op5_temperature_mix,
+    "op6_viterbi_pieces": op6_viterbi_pieces,
     "op7_voronoi_top_k": op7_voronoi_top_k,
     "op8_quality_votes": op8_quality_votes,
     "op9_line_runs": op9_line_runs,
