@@ -1,8 +1,8 @@
 r"""Conversations formatted into windows of a token budget.
 
 Template, one piece per turn: `### role: text</turn>` and a line feed. Control strings cannot
-occur inside roles and texts: a backslash is doubled, and `###`, `</turn>` and, in roles, `: `
-are broken by a backslash. Every backslash of the escaped form is thus an escape; dropping it
+occur inside roles and texts: a backslash is doubled, `###` and `</turn>` are broken by a
+backslash, and in roles one stands before each colon. Every backslash of the escaped form is thus an escape; dropping it
 gives the original back.
 
 Windows: prefix sums over the tokens of a conversation's turns choose spans that begin and end
@@ -27,8 +27,8 @@ def escape(text: Column) -> Column:
 
 
 def escape_role(role: Column) -> Column:
-    """As `escape`, and without the string that ends a role."""
-    return F.regexp_replace(escape(role), ":(?= |$)", ":\\\\")
+    """As `escape`, and every colon is escaped."""
+    return F.replace(escape(role), F.lit(":"), F.lit("\\:"))
 
 
 def unescape(text: Column) -> Column:
@@ -212,11 +212,10 @@ def read_back(windows: DataFrame) -> DataFrame:
     new = F.slice(pieces, F.col("n_repeated") + 1, F.col("n_new"))
 
     def parsed(piece: Column) -> Column:
-        colon = F.instr(piece, ": ")
-        head = len(MARK) + 2
+        role = F.regexp_extract(piece, rf"^{MARK} ((?:[^:\\]++|(?s:\\.))*+): ", 1)
         return F.struct(
-            unescape(F.substr(piece, F.lit(head), colon - head)).alias("role"),
-            unescape(F.substr(piece, colon + 2)).alias("text"),
+            unescape(role).alias("role"),
+            unescape(F.substr(piece, F.length(role) + len(MARK) + 4)).alias("text"),
         )
 
     masked = F.transform(

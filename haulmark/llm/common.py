@@ -2,30 +2,34 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: White space of the word contracts: the blank and the control characters from tab to return.
-SPACE = "[ \\t-\\r]"
+#: A word ends at a blank or a control character from tab to return.
 WORD = "[^ \\t-\\r]+"
 
 
+#: Folders of local sessions that name none, by application.
+_OWN: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder that driver and executors share, from `spark.checkpoint.dir`.
 
     Unset, a local session gets a temporary folder; on a cluster this is an error, since no
     folder of one machine would do.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or _OWN.get(context.applicationId)
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
+        if re.fullmatch(r"local(\[.*\])?", context.master) is None:
             raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
-        folder = tempfile.mkdtemp(prefix="haulmark-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return f"{folder.rstrip('/')}/haulmark-{spark.sparkContext.applicationId}"
+        folder = _OWN[context.applicationId] = tempfile.mkdtemp(prefix="haulmark-")
+    return f"{folder.rstrip('/')}/haulmark-{context.applicationId}"
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

@@ -1,0 +1,55 @@
+from __future__ import annotations
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from haulmark.llm import topk
+from haulmark.llm.queries import ORACLE, op7_voronoi_top_k
+from oracle_check import connect, differences
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_query_matches_its_sql(spark):
+    with connect(SF) as connection:
+        assert differences(op7_voronoi_top_k(spark, SF), connection, ORACLE["op7_voronoi_top_k"]) == []
+
+
+def _brute(rows, queries, k):
+    out = set()
+    for qid, q in {(i, v) for i, v in rows if i in queries}:
+        scores = sorted((-sum(a * b for a, b in zip(q, v)), i) for i, v in rows if i != qid)
+        out |= {(qid, n + 1, i, -s) for n, (s, i) in enumerate(scores[:k])}
+    return out
+
+
+@pytest.mark.parametrize("numbers", [40, 4_000_000])
+def test_blocks_ties_and_uneven_lengths(spark, monkeypatch, numbers):
+    monkeypatch.setattr(topk, "BLOCK_NUMBERS", numbers)
+    monkeypatch.setattr(topk, "BLOCK_QUERIES", 3)
+    rng = random.Random(2)
+    rows = [(i, tuple(rng.randint(-9, 9) for _ in range(rng.choice([0, 3, 4])))) for i in range(120)]
+    rows += [(200 + i, (9, 9, 9, 9)) for i in range(60)]
+    df = spark.createDataFrame([(i, list(v)) for i, v in rows], "vec_id bigint, vector array<bigint>")
+    got = topk.top_k(df, F.col("vec_id") % 7 == 0, k=4, cells=5, sample=40, members=6)
+    assert {tuple(r) for r in got.collect()} == _brute(rows, {i for i, _ in rows if i % 7 == 0}, 4)
+
+
+def test_large_numbers_stay_exact(spark):
+    rows = [(0, (2**30, 1)), (1, (2**30, 1)), (2, (2**30, 2)), (3, (2**30, 3))]
+    df = spark.createDataFrame([(i, list(v)) for i, v in rows], "vec_id bigint, vector array<bigint>")
+    got = topk.top_k(df, F.lit(True), k=2, cells=2)
+    assert {tuple(r) for r in got.collect()} == _brute(rows, {0, 1, 2, 3}, 2)
+
+
+def test_unusable_vectors_few_candidates_and_empty_table(spark):
+    inf, nan = float("inf"), float("nan")
+    rows = [(0, [1.0, 0.5]), (50, None), (1, [None, 1.0]), (2, [nan, 1.0]), (3, [inf, 1.0]), (None, [1.0, 1.0]), (4, [0.25, -0.1]), (4, [0.25, -0.1])]
+    df = spark.createDataFrame([(*r, 1) for r in rows], "vec_id bigint, embedding array<float>, score int")
+    fit = df.filter(topk.usable(F.col("embedding"))).select("vec_id", topk.quantised(F.col("embedding")).alias("vector"))
+    got = topk.top_k(fit, F.col("vec_id") % 50 == 0)
+    assert sorted(map(tuple, got.collect())) == [(0, 1, 4, 256 * 64 - 26 * 128), (0, 2, 4, 256 * 64 - 26 * 128)]
+    assert topk.top_k(fit.limit(0), F.lit(True)).count() == 0
+    assert topk.top_k(fit, F.lit(False)).count() == 0
