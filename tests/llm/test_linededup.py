@@ -1,0 +1,146 @@
+from __future__ import annotations
+
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from haulmark.llm import linededup
+from haulmark.llm.queries import op9_line_runs
+
+WORD = r"[^\x20\x09-\x0D]+"
+
+
+def _laid_out(text):
+    lines = [(k, x, len(re.findall(WORD, x))) for k, x in enumerate(text.split("\n")) if re.search(WORD, x)]
+    starts, at = [], 0
+    for *_, n in lines:
+        starts.append(at)
+        at += n
+    return lines, starts
+
+
+def _cut(rows, order, gram, window):
+    """The operator by loops: `rows` maps a key in order to its text, `order` gives (key, text hash) and gram hash."""
+    marks, laid = [], {}
+    for key, text in rows.items():
+        lines, starts = laid[key] = _laid_out(text)
+        ends = [s + x[2] for s, x in zip(starts, lines, strict=True)]
+        grams = []
+        for i, s in enumerate(starts):
+            j = i
+            while j < len(lines) and ends[j] < s + gram:
+                j += 1
+            grams.append(tuple(x[1] for x in lines[i : j + 1]) if j < len(lines) else None)
+        chosen = set()
+        for i, s in enumerate(starts):
+            near = [(order[g], k, g) for k, g in enumerate(grams) if g and s <= starts[k] < s + window]
+            if near:
+                chosen.add(min(near)[1])
+        marks += [(grams[k], key, k) for k in sorted(chosen)]
+    first = {}
+    for g, key, k in marks:
+        first.setdefault(g, (key, k))
+    gone = {key: set() for key in rows}
+    reach = gram + window - 1
+    for g, key, k in marks:
+        if first[g] == (key, k):
+            continue
+        (la, sa), (lb, sb) = laid[key], laid[first[g][0]]
+        i, j = k, first[g][1]
+        a, b = i, j
+        while a < len(la) and b < len(lb) and la[a][1] == lb[b][1] and sa[a] <= sa[i] + reach and sb[b] <= sb[j] + reach:
+            a, b = a + 1, b + 1
+        c, d = i - 1, j - 1
+        while c >= 0 and d >= 0 and la[c][1] == lb[d][1] and sa[c] >= sa[i] - reach and sb[d] >= sb[j] - reach:
+            c, d = c - 1, d - 1
+        gone[key] |= set(range(la[c + 1][0], la[a - 1][0] + 1))
+    return {key: "\n".join(x for n, x in enumerate(text.split("\n")) if n not in gone[key]) for key, text in rows.items()}
+
+
+def _hashes(spark, texts, gram):
+    """Hash of every gram, as Spark computes it."""
+    grams = set()
+    for text in texts:
+        lines, starts = _laid_out(text)
+        for i in range(len(lines)):
+            n, j = 0, i
+            while j < len(lines) and n < gram:
+                n, j = n + lines[j][2], j + 1
+            grams.add(tuple(x[1] for x in lines[i:j]))
+    df = spark.createDataFrame([(list(g),) for g in grams if g], "g array<string>")
+    each = df.select("g", F.xxhash64(F.transform("g", lambda x: F.xxhash64(x))).alias("h")).collect()
+    return {tuple(r["g"]): r["h"] for r in each}
+
+
+def _check(spark, rows, gram, window):
+    docs = spark.createDataFrame(list(rows.items()), "doc_id bigint, text string")
+    got = {r["doc_id"]: r for r in linededup.remove_repeated_runs(docs, gram=gram, window=window).collect()}
+    want = _cut(dict(sorted(rows.items())), _hashes(spark, rows.values(), gram), gram, window)
+    assert {k: r["text"] for k, r in got.items()} == want
+    for k, r in got.items():
+        assert r["n_lines"] == len(rows[k].split("\n"))
+    return want
+
+
+@pytest.mark.parametrize(("gram", "window"), [(1, 1), (3, 4), (5, 2), (25, 26)])
+def test_against_brute_force(spark, gram, window):
+    rng = random.Random(gram)
+    pool = [" ".join(rng.choices("abcdefgh", k=rng.randint(1, 6))) for _ in range(30)]
+    passage = [" ".join(rng.choices("klmnopqr", k=rng.randint(2, 7))) for _ in range(14)]
+    rows = {}
+    for i in range(40):
+        lines = rng.choices([*pool, "", "  "], k=rng.randint(0, 14))
+        if i % 3 == 0:
+            at = rng.randint(0, len(lines))
+            lines[at:at] = passage[rng.randint(0, 3) : rng.randint(8, 14)]
+        rows[i] = "\n".join(lines)
+    want = _check(spark, rows, gram, window)
+    # the guarantee: no run of this many words is left that an earlier document has
+    seen = {}
+    for i in sorted(rows):
+        lines, _ = _laid_out(rows[i])
+        for a in range(len(lines)):
+            n, b = 0, a
+            while b < len(lines) and n < gram + window - 1:
+                n, b = n + lines[b][2], b + 1
+            if n >= gram + window - 1:
+                run = tuple(x[1] for x in lines[a:b])
+                if seen.setdefault(run, i) != i:
+                    left = [x[1] for x in _laid_out(want[i])[0]]
+                    assert not any(tuple(left[k : k + len(run)]) == run for k in range(len(left))) or rows[i].count("\n".join(run)) > 1
+
+
+def test_whole_table(spark):
+    sf = "/root/testdata/sf0.001"
+    rows = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    want = _check(spark, rows, 25, 26)
+    assert {r["doc_id"]: r["text"] for r in op9_line_runs(spark, sf).collect()} == want
+    before = {x for t in rows.values() for x in t.split("\n") if x.strip()}
+    assert before == {x for t in want.values() for x in t.split("\n") if x.strip()}  # one copy of each line stays
+
+
+def test_copies_keep_one_and_short_lines_stay(spark):
+    text = "\n".join(f"line {k} has some words in it" for k in range(10))
+    rows = {1: text, 2: text, 3: "Yes.\n" + text + "\nNo.", 4: "Yes.\nNo.", 5: "Yes.\nNo."}
+    assert _check(spark, rows, 25, 26) == {1: text, 2: "", 3: "Yes.\nNo.", 4: "Yes.\nNo.", 5: "Yes.\nNo."}
+
+
+def test_nulls_repeats_long_texts_clashing_columns_and_empty_table(spark):
+    text = " ".join(f"w{k}" for k in range(60))
+    rows = [(7, text), (7, text), (8, text), (None, None), (1, None), (2, ""), (None, text), (9, "x\n" * 30_000), (10, "same words " * 20_000)]
+    docs = spark.createDataFrame([(*r, 3, "r") for r in rows], "doc_id bigint, text string, line int, n_removed string")
+    out = linededup.remove_repeated_runs(docs)
+    assert out.columns == ["doc_id", "text", "line", "n_removed", "n_lines"]
+    got = [(r["doc_id"], r["text"]) for r in out.collect()]
+    assert got.count((7, "")) == 2 and got.count((8, "")) == 1 and got.count((None, text)) == 1  # a null key comes first
+    assert got.count((None, None)) == 1 and got.count((1, None)) == 1 and got.count((2, "")) == 1
+    assert len(dict(got)[9]) < 1000 and len(dict(got)[10]) > 200_000
+    assert linededup.remove_repeated_runs(docs.limit(0)).count() == 0
+
+
+def test_plan_is_native(spark):
+    docs = spark.createDataFrame([(1, "a")], "doc_id bigint, text string")
+    plan = linededup.remove_repeated_runs(docs)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "CartesianProduct" not in plan
