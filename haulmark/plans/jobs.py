@@ -62,7 +62,7 @@ def run_refresh(
     else:
         rows, partition = refresh.dimension(staging, table), "sourcesystem"
     write_partitioned(rows, path, partition, "overwrite")
-    register_partitions(spark, target_db, table)
+    register_partitions(spark, target_db, table, replaced=True)
 
 
 def _flat_file_inputs(spark: SparkSession, database: str, positions: str, tires: bool):

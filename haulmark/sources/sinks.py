@@ -29,6 +29,12 @@ def write_csv(df: DataFrame, path: str, separator: str = ",") -> None:
     df.write.mode("overwrite").option("header", True).option("sep", separator).csv(path)
 
 
-def register_partitions(spark: SparkSession, database: str, table: str) -> None:
-    """Make partitions written by path visible in the catalog table."""
-    spark.sql(f"MSCK REPAIR TABLE {table_name(database, table)}")
+def register_partitions(
+    spark: SparkSession, database: str, table: str, replaced: bool = False
+) -> None:
+    """Make partitions written by path visible in the catalog table.
+
+    `replaced`: after an overwrite, partitions that are gone are dropped from it too.
+    """
+    action = "SYNC" if replaced else "ADD"
+    spark.sql(f"MSCK REPAIR TABLE {table_name(database, table)} {action} PARTITIONS")

@@ -51,3 +51,9 @@ def csv_table(
     )
     dates = {f.name: parse_date(f.name, date_pattern) for f in schema if f.dataType == T.DateType()}
     return spark.read.csv(path, schema=as_text, header=True).withColumns(dates)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, in any store that Spark reads."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)

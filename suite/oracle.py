@@ -472,7 +472,7 @@ ORACLE: dict[str, str] = {
                    WHERE ts >= TIMESTAMP '2024-01-16')
         SELECT recent.*, fuel.event_id AS fuel_id, fuel.ts AS fuel_ts FROM recent
         LEFT JOIN fuel ON fuel.mjid = recent.mjid AND fuel.chid = recent.chid
-          AND fuel.ts >= TIMESTAMP '2024-01-16' AND fuel.ts <= recent.ts
+          AND fuel.ts <= recent.ts
           AND fuel.ts >= recent.ts - INTERVAL 1 DAY""",
     "vehicle_details": f"""{MACHINES}
         SELECT DISTINCT r.mjid, r.chid, r.sourcesystem, r.lastdetailtimestamp,

@@ -131,3 +131,65 @@ def test_stream_takes_each_file_once(spark, tmp_path):
     arrive(3)
     assert ingest()[0] == 3
     assert ingest() == (3, 0)
+
+
+@pytest.fixture
+def arrivals(spark, tmp_path):
+    """Functions to drop staging files and to ingest them into a target of the name given."""
+    schema = spark.createDataFrame([], STAGING).schema
+    target_schema = spark.createDataFrame([], TARGET).schema
+
+    def arrive(staging, *records):
+        staged(spark, *[(chid, at, NOON, "I") for chid, at in records]).coalesce(1).write.mode(
+            "append"
+        ).parquet(str(tmp_path / staging))
+
+    def ingest(staging, name, **options):
+        path = str(tmp_path / name)
+        ingest_new_files(
+            spark, str(tmp_path / staging), schema, path, target_schema,
+            str(tmp_path / f"marks-{name}"), **options,
+        )
+        return spark.read.schema(target_schema).parquet(path)
+
+    return arrive, ingest
+
+
+@pytest.mark.parametrize("days", [(20, 10, 15), (10, 15, 20)])
+def test_batch_size_and_file_order_decide_no_row(spark, arrivals, days):
+    arrive, ingest = arrivals
+    for day in days:
+        arrive("staging", (f"m{day}", datetime(2019, 1, day, 12)), ("twice", datetime(2019, 1, 9)))
+    every = rows(ingest("staging", "all"))
+    assert rows(ingest("staging", "one", files_per_batch=1)) == every
+    assert {row[0] for row in every} == {"m10", "m15", "m20", "twice"} and set(every.values()) == {1}
+
+
+def test_repeated_batch_completes_a_half_written_one(spark, arrivals, monkeypatch):
+    arrive, ingest = arrivals
+    arrive("staging", ("old", datetime(2019, 1, 1)))
+    ingest("staging", "target", files_per_batch=1)
+    arrive("staging", ("late", datetime(2019, 1, 20)), ("early", datetime(2019, 1, 10)))
+    arrive("staging", ("other", datetime(2019, 1, 5)))
+
+    def half(df, path, partition, mode):
+        write_partitioned(df.where("chid = 'late'"), path, partition, mode)
+        raise OSError("lost half way")
+
+    with monkeypatch.context() as broken, pytest.raises(Exception, match="lost half way"):
+        broken.setattr("haulmark.streaming.delta_stream.write_partitioned", half)
+        ingest("staging", "target", files_per_batch=1)
+    found = ingest("staging", "target", files_per_batch=1)
+    assert Counter(row["chid"] for row in found.collect()) == Counter(["old", "late", "early", "other"])
+    # the next run has its own watermark: what is older than the target is late
+    arrive("staging", ("too late", datetime(2019, 1, 12)), ("new", datetime(2019, 1, 21)))
+    found = ingest("staging", "target")
+    assert {row["chid"] for row in found.collect()} == {"old", "late", "early", "other", "new"}
+
+
+def test_stream_ignores_future_partitions_when_guarded(spark, arrivals):
+    arrive, ingest = arrivals
+    arrive("staging", ("future", datetime(2999, 1, 1)))
+    ingest("staging", "target")
+    arrive("staging", ("now", NOON))
+    assert ingest("staging", "target", today=date(2019, 6, 2)).count() == 2
