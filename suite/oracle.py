@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from haulmark.plans import telemetry as flat
+from suite.standins import FLAT_SIDES
+
 HOUR, DAY = "INTERVAL 1 HOUR", "INTERVAL 1 DAY"
 
 
@@ -250,7 +253,42 @@ def _usage_vs_failures(value: str, fault: str) -> str:
     FROM qualifying q JOIN used USING (operationalassetid) JOIN failed USING (operationalassetid)"""
 
 
+
+def _flat_side(alias: str, kind: str) -> str:
+    measures = "".join(f", value + {i} AS {name}" for i, name in enumerate(FLAT_SIDES[kind]))
+    return f"""{alias} AS (
+        SELECT user_id % 3 AS mjid, user_id % 10 AS chid, user_id % 5 AS latchtypeid,
+               user_id % 25 AS vehicletypeid, ts AS rovertimestamp, ts AS sourcesystemtimestamp,
+               CAST(ts AS DATE) AS sourcesystemdate{measures}
+        FROM events WHERE event_type = '{kind}')"""
+
+
+def _flat_file(seconds: dict[str, int], where: str = "TRUE") -> str:
+    sides = {"pos": "view", "latch": "click", "fuel": "purchase", "impact": "error", "tire": "signup"}
+    tires = {name: name for name in FLAT_SIDES["signup"]}
+    columns = {"latch": flat.LATCH_COLUMNS, "fuel": flat.FUEL_COLUMNS, "impact": flat.IMPACT_COLUMNS, "tire": tires}
+    kept = [f"pos.{name}" for name in flat.POSITION_COLUMNS if not name.endswith("typeid") and name in
+            (*flat.MACHINE, "rovertimestamp", "sourcesystemtimestamp", "sourcesystemdate", *FLAT_SIDES["view"])]
+    kept += [f"{side}.{source} AS {name}" for side, of in columns.items() for name, source in of.items()]
+    joins = " ".join(
+        f"LEFT JOIN {side} ON {side}.chid = pos.chid AND {side}.rovertimestamp <= pos.rovertimestamp"
+        f" AND {side}.rovertimestamp >= pos.rovertimestamp - INTERVAL {seconds[side]} SECOND"
+        + (f" AND {side}.mjid = pos.mjid" if side != "tire" else "")
+        for side in columns
+    )
+    return f"""WITH {", ".join(_flat_side(*side) for side in sides.items())}
+        SELECT {", ".join(kept)}, r_name AS spreaderstate, n_name AS vehicletype
+        FROM pos JOIN region ON r_regionkey = latchtypeid JOIN nation ON n_nationkey = vehicletypeid
+        {joins} WHERE {where}"""
+
+
 ORACLE: dict[str, str] = {
+    "flat_file": _flat_file({"latch": 1, "fuel": 301, "impact": 1, "tire": 301}),
+    "flat_file_delta": _flat_file(
+        {"latch": 3600, "fuel": 216000, "impact": 3600, "tire": 3600},
+        "pos.rovertimestamp > (SELECT max(rovertimestamp) FROM pos"
+        " WHERE sourcesystemdate < DATE '2024-01-20')",
+    ),
     "enrich_positions": f"{TELEMETRY} SELECT pos.ts, {ENRICHED_COLUMNS} {ENRICHED}",
     "enrich_positions_delta": f"""{TELEMETRY} SELECT pos.ts AS rovertimestamp, {ENRICHED_COLUMNS}
         {ENRICHED}

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -22,7 +23,14 @@ from haulmark.operators.latest import (
 from haulmark.operators.skew import heavy_keys, split_join
 from haulmark.plans import maintenance, refresh, survival
 from haulmark.plans.incremental import incremental_delta, newest_date, newest_time, rows_after
-from haulmark.plans.telemetry import enrich_positions, flat_file_since, newer_than
+from haulmark.plans.telemetry import (
+    enrich_positions,
+    flat_file,
+    flat_file_since,
+    newer_than,
+    newer_than_target,
+    reading_lookbacks,
+)
 from haulmark.sources.tracker import ingestion_audit, last_ingested
 from suite import standins as s
 
@@ -426,6 +434,29 @@ def q_fixed_date_cutoff(spark, sf):
     return lookback_joins(recent, "ts", lookbacks)
 
 
+def _flat_sides(spark, sf):
+    positions, *readings = (
+        s.flat_side(spark, sf, kind) for kind in ("view", "click", "purchase", "error", "signup")
+    )
+    tires = readings[-1].drop("mjid", "latchtypeid", "vehicletypeid")
+    types = [types for types, _, _ in _type_tables(spark, sf)]
+    return positions, types, reading_lookbacks(*readings[:3], tires)
+
+
+def q_flat_file(spark, sf):
+    positions, types, lookbacks = _flat_sides(spark, sf)
+    return flat_file(positions, *types, lookbacks)
+
+
+def q_flat_file_delta(spark, sf):
+    positions, types, lookbacks = _flat_sides(spark, sf)
+    hours = (1, 60, 1, 1)
+    longer = [replace(lookback, seconds=h * HOUR) for lookback, h in zip(lookbacks, hours)]
+    target = positions.where(F.col("sourcesystemdate") < F.lit(date(2024, 1, 20)))
+    positions, longer = newer_than_target(positions, longer, target)
+    return flat_file(positions, *types, longer)
+
+
 def _vehicle_staging(spark, sf, names, given):
     """Orders as vehicle or rover records: one machine per customer, the columns of `given` filled."""
     deleted = F.when(F.col("o_orderpriority") == "5-LOW", "D").otherwise("I")

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from haulmark.plans import telemetry as flat
+
 # What the stand-ins exclude and recode in place of the operators' own lists.
 SORT_KEYS = ("NATION_3", "NATION_7")
 CUSTOMER_PARTS = ("77", "#0000013")
@@ -64,6 +66,31 @@ def telemetry(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
     )
 
 
+# Columns of the flat file's sides beside keys, types and times, and the kind of event of each.
+FLAT_SIDES = {
+    "view": [
+        name for name in flat.POSITION_COLUMNS
+        if name not in (*flat.MACHINE, flat.TIME, flat.DATE, "sourcesystemtimestamp", "latchtypeid", "vehicletypeid")
+    ],
+    "click": [name for name in flat.LATCH_COLUMNS.values() if name != flat.TIME],
+    "purchase": [name for name in flat.FUEL_COLUMNS.values() if name != flat.TIME],
+    "error": [name for name in flat.IMPACT_COLUMNS.values() if name != flat.TIME],
+    "signup": ["pressure", "temperature"],
+}
+
+
+def flat_side(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
+    """A side of the flat file under its own column names, few machines, each measure another number."""
+    user = F.col("user_id")
+    measures = [(F.col("value") + i).alias(name) for i, name in enumerate(FLAT_SIDES[kind])]
+    return table(spark, sf_dir, "events").where(F.col("event_type") == kind).select(
+        (user % 3).alias("mjid"), (user % 10).alias("chid"),
+        (user % 5).alias("latchtypeid"), (user % 25).alias("vehicletypeid"),
+        F.col("ts").alias(flat.TIME), F.col("ts").alias("sourcesystemtimestamp"),
+        F.col("ts").cast("date").alias(flat.DATE), *measures,
+    )
+
+
 def code_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nations as the shared code table; two of them name the attributes."""
     key = F.col("n_nationkey")
