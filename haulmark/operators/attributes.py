@@ -6,6 +6,8 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, functions as F
 
+from haulmark.operators.skew import lookup_join
+
 # Output column -> name of the attribute in the code table.
 ASSET_ATTRIBUTES = {"make": "MAKE", "model": "MODEL NO"}
 
@@ -31,7 +33,7 @@ def attribute_columns(
         cells.append(F.max(F.when(is_it, F.lit(True))).alias(f"_has_{column}"))
         present = present & F.col(f"_has_{column}").isNotNull()
     return (
-        values.join(wanted, "attributenameid")
+        lookup_join(values, wanted, "attributenameid")
         .groupBy(F.col("keyid").alias(entity))
         .agg(*cells)
         .where(present)

@@ -10,15 +10,24 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 SPLITS, HASH, PART, SIDE = "_splits", "_hash", "_part", "_side"
 
-# A group is split when it holds more than this share of its table, about the share of one
-# of 4,000 cores, and more than this many rows, which one task handles with ease.
-SHARE = 1 / 4000
+# A group is split when it holds more rows than this, which one task handles with ease, whatever
+# the table holds. The share only bounds the list of such groups on its way over the driver.
+SHARE = 1e-5
 MIN_ROWS = 1_000_000
 
+# Rows up to which a lookup table is broadcast once they are counted.
+MOST_BROADCAST = 100_000
+
+# Parts of a key in `dealt_join`.
+PARTS = 16
+
+# Copies that one generated row stands for at most.
+RUN = 10_000
+
 
 def heavy_groups(
     df: DataFrame,
@@ -27,11 +36,12 @@ def heavy_groups(
     share: float = SHARE,
     min_rows: int = MIN_ROWS,
 ) -> DataFrame:
-    """Groups of `keys` with more than `share` of the rows of their `within`, and the parts to cut them into.
+    """Groups of `keys` with more than `min_rows` rows, and the parts to cut them into.
 
-    A value of `within` has at most `1 / share` such groups whatever the data holds, so the
-    result is small enough for the driver and for a broadcast. Groups below `min_rows` are
-    never listed. Rows are counted per task before the shuffle, on the key columns only.
+    Only where `share` of the rows of their `within` is more than that, the limit is this: a
+    value of `within` has at most `1 / share` such groups whatever the data holds, so the
+    result is small enough for the driver and for a broadcast. Rows are counted per task
+    before the shuffle.
     """
     sizes = df.groupBy(within, *keys).agg(F.count(F.lit(1)).alias("_rows"))
     totals = sizes.groupBy(within).agg(F.sum("_rows").alias("_total"))
@@ -62,13 +72,22 @@ def heavy_hashes(
     return found
 
 
+def _holds_map(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return any(_holds_map(field.dataType) for field in kind)
+    if isinstance(kind, T.ArrayType):
+        return _holds_map(kind.elementType)
+    return isinstance(kind, T.MapType)
+
+
 def row_hash(df: DataFrame) -> Column:
     """Hash that differs between rows, and between copies of a row read by different tasks.
 
     It depends on the row and the number of its partition only, so a repeated task deals its
-    rows out as before.
+    rows out as before. Maps have no hash and are left out.
     """
-    return F.xxhash64(*df.columns, F.spark_partition_id())
+    names = [field.name for field in df.schema if not _holds_map(field.dataType)]
+    return F.xxhash64(*names, F.spark_partition_id())
 
 
 def heavy_keys(
@@ -79,22 +98,27 @@ def heavy_keys(
 
 
 def split_join(
-    facts: DataFrame, other: DataFrame, key: str, heavy: dict[int, int], how: str = "inner"
+    facts: DataFrame,
+    other: DataFrame,
+    key: str | Sequence[str],
+    heavy: dict[int, int],
+    how: str = "inner",
 ) -> DataFrame:
     """Inner or left join on `key`, the heavy keys of `facts` dealt out over several tasks.
 
     `heavy` comes from `heavy_keys`. Rows of `facts` with a heavy key get one of its parts,
     matching rows of `other` are copied to each, and rows without a key are dealt out too.
     """
+    keys = [key] if isinstance(key, str) else list(key)
     if not heavy:
-        return facts.join(other, key, how)
+        return facts.join(other, keys, how)
     parts = facts.sparkSession.createDataFrame(
         list(heavy.items()), f"{HASH} bigint, {SPLITS} int"
     )
     splits = F.coalesce(F.col(SPLITS), F.lit(1))
 
     def with_parts(df: DataFrame) -> DataFrame:
-        return df.withColumn(HASH, F.xxhash64(key)).join(F.broadcast(parts), HASH, "left")
+        return df.withColumn(HASH, F.xxhash64(*keys)).join(F.broadcast(parts), HASH, "left")
 
     dealt = with_parts(facts).select(
         *facts.columns, F.pmod(row_hash(facts), splits).cast("int").alias(PART)
@@ -102,4 +126,48 @@ def split_join(
     copied = with_parts(other).select(
         *other.columns, F.explode(F.sequence(F.lit(0), splits - 1)).alias(PART)
     )
+    return dealt.join(copied, [*keys, PART], how).drop(PART)
+
+
+def dealt_join(
+    facts: DataFrame, other: DataFrame, key: str, how: str = "inner", parts: int = PARTS
+) -> DataFrame:
+    """Inner or left join with a table of few rows per key, every key of `facts` dealt out over `parts`.
+
+    Nothing is counted: `other` is copied to all parts, which is cheap where it is a small
+    share of `facts`. Spark still broadcasts it where its own size check allows.
+    """
+    numbers = F.array(*[F.lit(part) for part in range(parts)])
+    dealt = facts.withColumn(PART, F.pmod(row_hash(facts), F.lit(parts)).cast("int"))
+    copied = other.withColumn(PART, F.explode(numbers))
     return dealt.join(copied, [key, PART], how).drop(PART)
+
+
+def lookup_join(
+    facts: DataFrame,
+    other: DataFrame,
+    key: str,
+    how: str = "inner",
+    most: int = MOST_BROADCAST,
+    share: float = SHARE,
+    min_rows: int = MIN_ROWS,
+) -> DataFrame:
+    """Inner or left join of facts with a lookup table, whose few keys would gather them in few tasks.
+
+    The table's rows are counted, at most `most` and one: up to `most` it is broadcast and
+    `facts` are not shuffled at all. A larger one is joined by `split_join`.
+    """
+    if other.limit(most + 1).count() <= most:
+        measured = f"_measured_{key}"
+        table = F.broadcast(other.withColumnRenamed(key, measured))
+        return facts.join(table, F.col(key) == F.col(measured), how).drop(measured)
+    [heavy] = heavy_keys([(facts, key)], share, min_rows)
+    return split_join(facts, other, key, heavy, how)
+
+
+def repeated(df: DataFrame, copies: str) -> DataFrame:
+    """Every row as often as `copies` says, in two steps so that no row holds an array of all of them."""
+    first = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(copies) - 1, F.lit(RUN).cast("bigint")))
+    last = F.least(F.col("_first") + RUN, F.col(copies)) - 1
+    runs = df.where(F.col(copies) > 0).withColumn("_first", first)
+    return runs.withColumn("_copy", F.explode(F.sequence("_first", last))).drop("_first", "_copy", copies)

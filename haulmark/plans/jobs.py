@@ -155,7 +155,7 @@ def maintenance_reports(spark: SparkSession, database: str) -> dict[str, DataFra
         "usage_rate": maintenance.usage_rate(asset, codes, view, meter),
         "survival": intervals,
         "survival_by_make_site": survival.survival_by_make_site(
-            intervals, asset, codes, view, attribute, workorder
+            intervals, asset, codes, view, attribute
         ),
     }
 

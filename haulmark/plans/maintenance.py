@@ -26,7 +26,7 @@ from haulmark.functions.text import (
 from haulmark.functions.timeops import days_between, safe_rate
 from haulmark.operators.attributes import ASSET_ATTRIBUTES, attribute_columns
 from haulmark.operators.latest import argmax_with_ties
-from haulmark.operators.skew import heavy_keys, split_join
+from haulmark.operators.skew import dealt_join, heavy_keys, lookup_join, repeated, split_join
 
 ASSET = "operationalassetid"
 
@@ -42,6 +42,9 @@ COUNTED_WORK_TYPES = ("FAIL", "FAILold", "SCH", "SCHold", "TIRES")
 # Fixed value: estimates and margins from this many days on are left out by the cleanup.
 LONGEST_INTERVAL = 800
 
+# A margin of more days, over 2,700 years, is taken as this many, which no calendar here exceeds.
+LATEST_MARGIN = 1e6
+
 
 def with_sort_key(asset: DataFrame, codes: DataFrame) -> DataFrame:
     """Assets with the name, value and description of their sort key."""
@@ -51,13 +54,13 @@ def with_sort_key(asset: DataFrame, codes: DataFrame) -> DataFrame:
         "tablevalue",
         F.col("tabledescription").alias("sortkeydescription"),
     )
-    return asset.join(keys, "sortkeyid")
+    return dealt_join(asset, keys, "sortkeyid")
 
 
 def with_view(asset: DataFrame, view: DataFrame) -> DataFrame:
     """Assets with the name of their view."""
     names = view.select("operationalviewid", F.col("name").alias("operationalviewname"))
-    return asset.join(names, "operationalviewid")
+    return dealt_join(asset, names, "operationalviewid")
 
 
 def qualifying(
@@ -79,7 +82,7 @@ def typed_orders(workorder: DataFrame, worktype: DataFrame, type_key: str) -> Da
         F.col("name").alias("worktypename"),
         F.col("category").alias("worktypecategory"),
     )
-    return workorder.join(types, type_key)
+    return lookup_join(workorder, types, type_key)
 
 
 def asset_usage(
@@ -189,17 +192,7 @@ def maintenance_timeline(
     With `margins` (`pm_margin`) the final report: labelled rows of assets that have one, one
     row per margin. Without, the full listing, where an order lacking its date has no label.
     """
-    keyed = with_sort_key(asset, codes)
-    viewed = with_view(
-        asset.where(excludes_all("operationalassetname", name_parts)), view
-    ).join(keyed.select(ASSET), ASSET, "left_semi")
-    sort_key = qualifying(keyed, sort_keys, name_parts).groupBy(ASSET).agg(
-        F.max("sortkeyname").alias("sortkeyname")
-    )
-    names = viewed.join(sort_key, ASSET).groupBy(ASSET, "sortkeyname").agg(
-        F.max("operationalassetname").alias("operationalassetname"),
-        F.max("operationalviewname").alias("operationalviewname"),
-    )
+    names = _asset_names(asset, codes, view, sort_keys, name_parts)
     failed = F.col("worktypecategory") == FAILURE
     at = F.when(failed, F.col("raisedate")).otherwise(F.col("finishdate"))
     label = (
@@ -217,18 +210,17 @@ def maintenance_timeline(
         F.count(F.lit(1)).alias("_failures")
     )
     per_name = (
-        viewed.select(ASSET)
-        .join(names, ASSET)
+        names.where(F.col("sortkeyname").isNotNull())
         .join(failures, ASSET)
         .groupBy("operationalassetname")
-        .agg(F.sum("_failures").cast("int").alias("_no_failures"))
+        .agg(F.sum(F.col("_failures") * F.col("_rows")).cast("int").alias("_no_failures"))
     )
-    heavy_name, heavy_asset = heavy_keys([(asset, "operationalassetname"), (workorder, ASSET)])
-    counted = split_join(names, per_name, "operationalassetname", heavy_name, "left")
     # An asset with an excluded sort key keeps its rows and loses its names.
-    assets = viewed.select(ASSET).join(counted, ASSET, "left").withColumn(
-        "no_failures", F.coalesce(F.col("_no_failures"), F.lit(0))
-    )
+    assets = repeated(dealt_join(names, per_name, "operationalassetname", "left"), "_rows")
+    assets = assets.withColumn("no_failures", F.coalesce(F.col("_no_failures"), F.lit(0)))
+    if margins is not None:
+        orders = orders.where(F.col("type") != UNLABELLED)
+    [heavy_asset] = heavy_keys([(orders, ASSET)])
 
     columns = [
         ASSET, "operationalassetname", "operationalviewname", "sortkeyname", "all", "type",
@@ -237,15 +229,56 @@ def maintenance_timeline(
     if margins is None:
         return split_join(orders, assets, ASSET, heavy_asset).select(*columns)
     assets = assets.join(margins.select(ASSET), ASSET)
-    labelled = orders.where(F.col("type") != UNLABELLED)
-    return split_join(labelled, assets, ASSET, heavy_asset).select(
+    return split_join(orders, assets, ASSET, heavy_asset).select(
         *columns, F.lit(None).cast("boolean").alias("done")
     )
 
 
+def _asset_names(
+    asset: DataFrame,
+    codes: DataFrame,
+    view: DataFrame,
+    sort_keys: Sequence[str],
+    name_parts: Sequence[str],
+) -> DataFrame:
+    """Per asset with a view and sort key: its rows, and its names if the sort key is not excluded.
+
+    The lookup tables are taken to one row per key first, so the assets are read and joined once.
+    """
+    kept = F.col("tablename").isNotNull() & ~F.col("tablename").isin(list(sort_keys))
+    keys = codes.groupBy(F.col("tableid").alias("sortkeyid")).agg(
+        F.max(F.when(kept, F.col("tablename"))).alias("_sortkey"), F.lit(True).alias("_keyed")
+    )
+    views = view.groupBy("operationalviewid").agg(
+        F.max("name").alias("_view"), F.count(F.lit(1)).alias("_views")
+    )
+    rows = asset.select(ASSET, "operationalassetname", "sortkeyid", "operationalviewid")
+    rows = dealt_join(rows, keys, "sortkeyid", "left")
+    rows = dealt_join(rows, views, "operationalviewid", "left")
+    named = F.coalesce(excludes_all("operationalassetname", name_parts), F.lit(False))
+    viewed = named & F.col("_views").isNotNull()
+    found = rows.groupBy(ASSET).agg(
+        F.sum(F.when(viewed, F.col("_views"))).alias("_rows"),
+        F.max("_keyed").alias("_keyed"),
+        F.max(F.when(named, F.col("_sortkey"))).alias("sortkeyname"),
+        F.max(F.when(viewed, F.col("operationalassetname"))).alias("_name"),
+        F.max(F.when(viewed, F.col("_view"))).alias("_view"),
+    )
+    known = F.col("sortkeyname").isNotNull()
+    return found.where(F.col("_rows").isNotNull() & F.col("_keyed").isNotNull()).select(
+        ASSET, "_rows", "sortkeyname",
+        F.when(known, F.col("_name")).alias("operationalassetname"),
+        F.when(known, F.col("_view")).alias("operationalviewname"),
+    )
+
+
 def pm_schedule(margins: DataFrame) -> DataFrame:
-    """Due dates of each row of `pm_margin`: every `estimated` days from first to last reading."""
-    step = F.make_interval(days=F.col("estimated").cast("int"))
+    """Due dates of each row of `pm_margin`: every `estimated` days from first to last reading.
+
+    An interval longer than the range gives the first date only.
+    """
+    whole = F.date_diff("maxdate", "mindate") + 1
+    step = F.make_interval(days=F.least(F.col("estimated"), whole.cast("double")).cast("int"))
     due = F.sequence(F.col("mindate").cast("date"), F.col("maxdate").cast("date"), step)
     return margins.where(F.col("estimated") >= 1).withColumn("due", F.explode(due))
 
@@ -295,7 +328,7 @@ def pm_compliance(
         lists = [F.col(f"_days.{name}").alias(name) for name in columns]
         return rows.groupBy(ASSET).agg(days).select(ASSET, *lists)
 
-    until = F.date_add("due", F.col("pm_margin_days").cast("int"))
+    until = F.date_add("due", F.least(F.col("pm_margin_days"), F.lit(LATEST_MARGIN)).cast("int"))
     wanted = (
         schedule.groupBy(
             ASSET, F.unix_date("due").alias("due"), F.unix_date(until).alias("until")
@@ -318,17 +351,13 @@ def pm_compliance(
         F.struct(F.lit(True).alias("done"), F.col("met").alias("copies")),
         F.struct(F.lit(False).alias("done"), (F.col("scheduled") - F.col("met")).alias("copies")),
     )
-    return (
-        rows.select(
-            ASSET,
-            F.date_from_unix_date("due").alias("due"),
-            F.date_from_unix_date("until").alias("until"),
-            F.inline(outcomes),
-        )
-        .where(F.col("copies") > 0)
-        .select(ASSET, "due", "until", "done", F.explode(F.sequence(F.lit(1), "copies")))
-        .drop("col")
+    counted = rows.select(
+        ASSET,
+        F.date_from_unix_date("due").alias("due"),
+        F.date_from_unix_date("until").alias("until"),
+        F.inline(outcomes),
     )
+    return repeated(counted, "copies").select(ASSET, "due", "until", "done")
 
 
 def failures_by_make_model(
@@ -381,11 +410,9 @@ def failures_by_make_model(
 
     by_make = counts("make", "countofassetmakes", "countofmakesinworkorders")
     by_model = counts("makenmod", "countofassetmodels", "countofmodels")
-    heavy_make, heavy_model, heavy_asset = heavy_keys(
-        [(assets, "make"), (assets, "makenmod"), (workorder, ASSET)]
-    )
-    described = split_join(assets, by_make, "make", heavy_make, "left")
-    described = split_join(described, by_model, "makenmod", heavy_model, "left")
+    described = dealt_join(assets, by_make, "make", "left")
+    described = dealt_join(described, by_model, "makenmod", "left")
+    [heavy_asset] = heavy_keys([(orders, ASSET)])
     return split_join(orders, described, ASSET, heavy_asset).select(
         ASSET, "operationalassetname", "make", "model", "year", "causeoffaultdescription",
         "makenmod", "worktypename", "countofassetmakes", "countofmakesinworkorders",
@@ -417,7 +444,7 @@ def usage_vs_failures(
         F.col("worktypecategory") == FAILURE
     )
     if cause_key is not None:
-        orders = orders.join(codes.select(F.col("tableid").alias(cause_key)), cause_key)
+        orders = lookup_join(orders, codes.select(F.col("tableid").alias(cause_key)), cause_key)
     failures = (
         orders.groupBy(ASSET)
         .agg(F.count(F.lit(1)).alias("_failures"))
@@ -479,8 +506,8 @@ def fault_causes(
         .where(F.col("worktypecategory") == FAILURE)
         .select(ASSET, cause_key, "worktypecategory")
     )
-    heavy_cause, heavy_asset = heavy_keys([(workorder, cause_key), (workorder, ASSET)])
-    failures = split_join(orders, causes, cause_key, heavy_cause)
+    failures = lookup_join(orders, causes, cause_key)
+    [heavy_asset] = heavy_keys([(failures, ASSET)])
     located = viewed.select(ASSET, "operationalviewname").join(assets, ASSET)
     found = split_join(failures, located, ASSET, heavy_asset)
     spared = assets.join(

@@ -19,6 +19,7 @@ from haulmark.functions.text import (
     normalize_make,
 )
 from haulmark.operators.attributes import ASSET_ATTRIBUTES, attribute_columns
+from haulmark.operators.skew import heavy_hashes, split_join
 from haulmark.plans.maintenance import (
     ASSET,
     FAILURE,
@@ -62,14 +63,6 @@ def survival_dataset(
         )
     )
     failures = orders.where("failed").select(ASSET, "workorderid", F.col("raised").alias("day"))
-    per_asset = failures.groupBy(ASSET).agg(F.min("day").alias("first"), F.max("day").alias("last"))
-    bounds = (
-        per_asset.join(asset.select(ASSET), ASSET, "left_semi")
-        .agg(F.struct(F.min("first").alias("first"), F.max("last").alias("last")).alias("bounds"))
-        .scalar()
-    )
-    first_day, last_day = bounds["first"], bounds["last"]
-
     # One row per asset and day, shuffled once for both uses below; maintenance without a
     # finish date falls on a null day and is not counted.
     days = orders.groupBy(
@@ -79,6 +72,14 @@ def survival_dataset(
         F.count(F.when(~F.col("failed"), F.col("finished"))).alias("maintained"),
     )
     failed_day = F.when(F.col("first_order").isNotNull(), F.col("day"))
+    bounds = (
+        days.groupBy(ASSET)
+        .agg(F.min(failed_day).alias("first"), F.max(failed_day).alias("last"))
+        .join(asset.select(ASSET), ASSET, "left_semi")
+        .agg(F.struct(F.min("first").alias("first"), F.max("last").alias("last")).alias("bounds"))
+        .scalar()
+    )
+    first_day, last_day = bounds["first"], bounds["last"]
     order = Window.partitionBy(ASSET).orderBy("day")
     history = days.select(
         ASSET,
@@ -97,10 +98,13 @@ def survival_dataset(
     earlier = F.when(F.col("workorderid") == F.col("first_order"), F.col("earlier")).otherwise(
         F.col("day")
     )
-    events = (
-        failures.join(history.where(F.col("first_order").isNotNull()), [ASSET, "day"])
-        .join(asset.select(ASSET, "operationalassetname", "installdate"), ASSET)
-        .withColumns({"fail": F.lit(1), "earlier": earlier})
+    # Days meet their asset first, so the failures are joined once, a crowded day in parts.
+    dated = history.where(F.col("first_order").isNotNull()).join(
+        asset.select(ASSET, "operationalassetname", "installdate"), ASSET
+    )
+    [crowded] = heavy_hashes([failures.select(F.xxhash64(ASSET, "day"))])
+    events = split_join(failures, dated, [ASSET, "day"], crowded).withColumns(
+        {"fail": F.lit(1), "earlier": earlier}
     )
 
     # One row per asset: last failure, and the maintenance finished by the last day of all.
@@ -145,7 +149,6 @@ def survival_by_make_site(
     codes: DataFrame,
     view: DataFrame,
     attribute: DataFrame,
-    workorder: DataFrame,
     *,
     sort_keys: Sequence[str] = EXCLUDED_SORT_KEYS,
     name_parts: Sequence[str] | None = None,
@@ -156,11 +159,9 @@ def survival_by_make_site(
 
     `name_parts` excludes assets by name; None, as in the original report, keeps them all.
     """
-    ordered = workorder.select(ASSET).distinct()
     sites = (
         with_view(asset.select(ASSET, "operationalviewid"), view)
         .join(attribute_columns(attribute, codes, attributes, ASSET), ASSET)
-        .join(ordered, ASSET, "left_semi")
         .groupBy(ASSET)
         .agg(
             F.max("operationalviewname").alias("operationalviewname"),

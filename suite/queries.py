@@ -384,7 +384,7 @@ def q_survival_dataset(spark, sf):
 def q_survival_by_make_site(spark, sf):
     return survival.survival_by_make_site(
         _survival(spark, sf), *_customers(spark, sf), s.customer_attributes(spark, sf),
-        s.customer_orders(spark, sf), sort_keys=s.SORT_KEYS, spellings=s.SEGMENT_MAKES,
+        sort_keys=s.SORT_KEYS, spellings=s.SEGMENT_MAKES,
     )
 
 

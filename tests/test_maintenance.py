@@ -255,3 +255,20 @@ def test_compliance_equals_row_by_row_matching(spark, seed):
         spark.createDataFrame(completions, "operationalassetid int, finishdate date"),
     )
     assert rows(found) == expected
+
+
+def test_an_odd_interval_or_many_copies_stop_no_report(spark):
+    start, end = date(2020, 1, 1), date(2020, 3, 1)
+    rows = [(1, start, end, 5e9, 7e12), (2, start, end, 30.0, 5.0)]
+    margins = spark.createDataFrame(
+        rows, "operationalassetid bigint, mindate date, maxdate date, estimated double, pm_margin_days double"
+    )
+    due = maintenance.pm_schedule(margins)
+    assert Counter((r["operationalassetid"], r["due"]) for r in due.collect()) == Counter(
+        [(1, start), (2, start), (2, date(2020, 1, 31)), (2, end)]
+    )
+    copies = due.where("operationalassetid = 2 and due = date'2020-01-31'").crossJoin(spark.range(1_000_000)).drop("id")
+    done = spark.createDataFrame([(1, end), (2, date(2020, 2, 1))], "operationalassetid bigint, finishdate date")
+    found = maintenance.pm_compliance(copies.unionByName(due.where("operationalassetid = 1")), done)
+    counts = {(r["operationalassetid"], r["done"]): r["count"] for r in found.groupBy("operationalassetid", "done").count().collect()}
+    assert counts == {(1, True): 1, (2, True): 1, (2, False): 999_999}

@@ -115,7 +115,7 @@ def test_make_and_site_replace_the_asset(spark):
     view = spark.createDataFrame([(1, "NORTH")], schemas.OPERATIONAL_VIEW)
     attribute = spark.createDataFrame([(1, 30, "Noell "), (2, 30, "terex")], schemas.TABLE_ATTRIBUTE)
     data = survival_dataset(asset, types, order)
-    found = survival_by_make_site(data, asset, codes, view, attribute, order)
+    found = survival_by_make_site(data, asset, codes, view, attribute)
     age = (D(2016, 5, 1) - D(2010, 1, 1)).days
     assert rows(found) == Counter(
         {
@@ -124,6 +124,6 @@ def test_make_and_site_replace_the_asset(spark):
         }
     )
     none = survival_by_make_site(
-        data, asset, codes, view, attribute, order, name_parts=["same"]
+        data, asset, codes, view, attribute, name_parts=["same"]
     )
     assert none.count() == 0
