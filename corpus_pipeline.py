@@ -51,7 +51,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The piece ids of each text."""
     model = f"{TOKENIZERS}/piece_bpe_32k.model"
-    coded = docs.withColumn("ids", pieces.encode(spark, F.col("text"), model))
+    coded = pieces.encode(docs, model, keep=["doc_id", "lang", "source"])
     return coded.select("doc_id", "lang", "source", F.size("ids").alias("n_tokens"), "ids")
 
 

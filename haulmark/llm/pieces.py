@@ -17,17 +17,19 @@ from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
-from pyspark.sql import Column, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 BLANK = "▁"
 #: A word has the blanks before it; blanks at the end are a word too.
 WORD = re.compile(r" *[^ ]+| +")
 #: Words above this length are worked on one by one.
 LONG = 64
-#: Cells of a matrix that are worked on at once, characters of the texts of one round, words kept.
-CELLS, ROUND, KNOWN = 1 << 18, 1 << 21, 300_000
+#: Cells of a matrix that are worked on at once, bytes of the texts of one round, words kept.
+CELLS, ROUND, KNOWN = 1 << 19, 1 << 20, 200_000
 BASE = np.uint64(0x9E3779B97F4A7C15)
 LENGTH = np.uint64(0xD6E8FEB86659FD93)
 FIRST_BITS = np.uint64(44)
@@ -40,8 +42,8 @@ def load_vocabulary(path: str) -> dict:
     plain = [i for i in ids if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i) or model.is_unused(i))]
     strings = {i: model.id_to_piece(i).replace(BLANK, " ") for i in plain}
     scores = np.array([model.get_score(i) for i in plain], float)
-    if (scores == np.round(scores)).all() and len(set(scores.tolist())) == len(scores):
-        rank = np.argsort(np.argsort(-scores))
+    if (scores == np.round(scores)).all():
+        rank = np.argsort(np.argsort(-scores, kind="stable"))
         scores = -np.log(rank + 2.0) - np.log(np.log(len(plain) + 2.0))
     hashes = np.array([_hash(strings[i]) for i in plain], np.uint64)
     order = np.argsort(hashes)
@@ -74,16 +76,18 @@ class Segmenter:
         self.some = np.zeros(1 << 20, bool)  # which first bits any piece's hash has; spares most searches
         self.some[self.hashes >> FIRST_BITS] = True
         self.fallback = float(self.scores.min()) - 10.0
+        self.lengths = LENGTH * np.arange(self.longest + 1, dtype=np.uint64)
         self.powers = np.array([pow(int(BASE), k, 1 << 64) for k in range(self.longest + 1)], np.uint64)
 
     def probe(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Score and id of substrings by hash; minus infinity and -1 where there is no such piece."""
         score, ids = np.full(hashes.shape, -np.inf), np.full(hashes.shape, -1, np.int64)
-        some = self.some[hashes >> FIRST_BITS]
+        some = np.nonzero(self.some[hashes >> FIRST_BITS])
         asked = hashes[some]
         at = np.minimum(np.searchsorted(self.hashes, asked), len(self.hashes) - 1)
         hit = self.hashes[at] == asked
-        score[some], ids[some] = np.where(hit, self.scores[at], -np.inf), np.where(hit, self.ids[at], -1)
+        found, at = tuple(x[hit] for x in some), at[hit]
+        score[found], ids[found] = self.scores[at], self.ids[at]
         return score, ids
 
     @staticmethod
@@ -104,13 +108,16 @@ class Segmenter:
         piece, length = np.empty((n, width + 1), np.int64), np.empty((n, width + 1), np.int64)
         rows = np.arange(n)
         for end in range(1, width + 1):
-            sizes = np.arange(1, min(self.longest, end) + 1)
+            k = min(self.longest, end)
+            begins = slice(end - 1, end - k - 1 if end > k else None, -1)  # of sizes 1 to k
             with np.errstate(over="ignore"):
-                found = prefix[:, [end]] - prefix[:, end - sizes] * self.powers[sizes] + LENGTH * sizes.astype(np.uint64)
+                found = prefix[:, begins] * self.powers[1 : k + 1]
+                np.subtract(prefix[:, [end]], found, out=found)
+                found += self.lengths[1 : k + 1]
             score, ids = self.probe(found)
-            none = ids[:, 0] < 0
-            score[none, 0] = self.fallback
-            total = best[:, end - sizes] + score
+            score[ids[:, 0] < 0, 0] = self.fallback
+            score += best[:, begins]
+            total = score
             pick = total.argmax(1)
             best[:, end], piece[:, end], length[:, end] = total[rows, pick], ids[rows, pick], pick + 1
         return self._followed(words, piece, length)
@@ -156,7 +163,7 @@ class Segmenter:
             ends = np.arange(start - left + 1, len(block) + 1)
             begin = ends[:, None] - sizes
             with np.errstate(over="ignore"):
-                found = prefix[ends][:, None] - prefix[np.maximum(begin, 0)] * self.powers[sizes] + LENGTH * sizes.astype(np.uint64)
+                found = prefix[ends][:, None] - prefix[np.maximum(begin, 0)] * self.powers[sizes] + self.lengths[sizes]
             score, ids = self.probe(found)
             score[begin < 0], ids[begin < 0] = -np.inf, -1
             score[:, 0] = np.where(ids[:, 0] < 0, self.fallback, score[:, 0])
@@ -194,67 +201,91 @@ class Segmenter:
         self.known.update((w, x) for w, x in fresh.items() if len(w) <= LONG)
         return out
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """Piece ids of texts; a text that is not empty gets a blank before it."""
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Piece ids of all texts, one behind the other, and where each text's begin and the last one's end.
+
+        A text that is not empty gets a blank before it."""
         parts = [WORD.findall(" " + t) if t else [] for t in texts]
-        flat = [w for p in parts for w in p]
+        flat = list(chain.from_iterable(parts))
+        ends = np.cumsum([0, *map(len, parts)])
         if not flat:
-            return [np.empty(0, np.int64) for _ in texts]
+            return np.empty(0, np.int64), np.zeros(len(texts) + 1, np.int64)
         codes, uniques = pd.factorize(np.array(flat, object))
         pieces = self.words(uniques.tolist())
         sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
         ids = np.fromiter(chain.from_iterable(pieces), np.int64, sizes.sum())
         first = np.cumsum(sizes) - sizes
         counts = sizes[codes]
-        start = np.cumsum(counts) - counts
-        tokens = ids[np.repeat(first[codes] - start, counts) + np.arange(counts.sum())]
-        ends = np.cumsum([len(p) for p in parts])
-        return np.split(tokens, np.append(0, np.cumsum(counts))[ends[:-1]])
+        stop = np.cumsum(counts)
+        tokens = ids[np.repeat(first[codes] - (stop - counts), counts) + np.arange(stop[-1])]
+        return tokens, np.concatenate([[0], stop])[ends]
 
     def decode(self, ids: np.ndarray) -> str:
         text = b"".join([self.decoded[i] for i in ids]).decode("utf-8", errors="replace")
         return text[1:] if text.startswith(" ") else text
 
 
-def _rounds(texts: list[str]) -> Iterator[list[str]]:
-    """Cut into runs of about `ROUND` characters."""
-    run, size = [], 0
-    for t in texts:
-        run.append(t)
-        size += len(t)
-        if size >= ROUND:
-            yield run
-            run, size = [], 0
-    if run:
-        yield run
+def _slices(batch: pa.RecordBatch, sizes: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """A batch cut where the sizes of its rows pass multiples of `ROUND`; a row is never cut."""
+    rounds = np.cumsum(sizes) // ROUND
+    cuts = [0, *(np.flatnonzero(np.diff(rounds)) + 1).tolist(), batch.num_rows]
+    for a, b in zip(cuts, cuts[1:], strict=False):
+        yield batch.slice(a, b - a)
+
 
+def encode(
+    docs: DataFrame,
+    model: str,
+    text: str = "text",
+    ids: str = "ids",
+    keep: list[str] | None = None,
+    round_trip: str | None = None,
+) -> DataFrame:
+    """The columns `keep` of `docs` (all if None) and `ids`, the piece ids of the whole text, taken as it is.
 
-def encode(spark: SparkSession, text: Column, model: str) -> Column:
-    """Array of piece ids of whole texts, taken as they are; null and empty texts give an empty array.
+    `round_trip` names a further column: whether decoding the ids in the same task gives the text back.
 
-    `model`: path of the model file, read by the driver only; tasks get the vocabulary by a
-    broadcast, whose size is that of the vocabulary.
+    Null and empty texts give an empty array; repeated rows are encoded each; an empty table
+    gives no rows; a column named `ids` is replaced. `model`: path of the model file, read by the
+    driver only; tasks get the vocabulary by a broadcast of its size. A task turns texts into
+    strings a slice of about `ROUND` bytes at a time, so its memory does not follow the batch.
     """
-    vocabulary = spark.sparkContext.broadcast(load_vocabulary(model))
+    new = [T.StructField(ids, T.ArrayType(T.IntegerType()))]
+    new += [T.StructField(round_trip, T.BooleanType())] if round_trip else []
+    names = [x.name for x in new]
+    keep = [c for c in (docs.columns if keep is None else keep) if c not in names]
+    vocabulary = docs.sparkSession.sparkContext.broadcast(load_vocabulary(model))
 
-    @F.pandas_udf("array<int>")
-    def encoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         segmenter = Segmenter(vocabulary.value)
         for batch in batches:
-            runs = _rounds([t or "" for t in batch])
-            yield pd.Series([x.astype(np.int32) for run in runs for x in segmenter.encode(run)], dtype=object)
-
-    return encoded(text)
-
-
-def decode(spark: SparkSession, ids: Column, model: str) -> Column:
-    """Texts of arrays of piece ids; null gives null. Ids without a piece of their own give nothing."""
-    vocabulary = spark.sparkContext.broadcast(load_vocabulary(model))
-
-    @F.pandas_udf("string")
-    def decoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            lengths = pc.fill_null(pc.binary_length(batch[text]), 0).to_numpy(zero_copy_only=False)
+            for part in _slices(batch, lengths):
+                texts = [t or "" for t in part[text].to_pylist()]
+                tokens, starts = segmenter.encode(texts)
+                made = [pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(tokens, pa.int32()))]
+                if round_trip:
+                    flat, ends = tokens.tolist(), starts.tolist()
+                    back = [segmenter.decode(flat[a:b]) for a, b in zip(ends, ends[1:], strict=False)]
+                    made.append(pa.array([a == b for a, b in zip(texts, back, strict=True)], pa.bool_()))
+                yield pa.RecordBatch.from_arrays([*(part[c] for c in keep), *made], names=[*keep, *names])
+
+    schema = T.StructType([*(docs.schema[c] for c in keep), *new])
+    return docs.select(*dict.fromkeys([*keep, text])).mapInArrow(encoded, schema)
+
+
+def decode(docs: DataFrame, model: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
+    """`docs` and `text`, the texts of the piece ids; null gives null, ids without a piece of their own nothing."""
+    keep = [c for c in docs.columns if c != text]
+    vocabulary = docs.sparkSession.sparkContext.broadcast(load_vocabulary(model))
+
+    def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         segmenter = Segmenter(vocabulary.value)
         for batch in batches:
-            yield pd.Series([None if x is None else segmenter.decode(x) for x in batch], dtype=object)
+            lengths = pc.fill_null(pc.list_value_length(batch[ids]), 0).to_numpy(zero_copy_only=False)
+            for part in _slices(batch, 4 * lengths):
+                texts = [None if x is None else segmenter.decode(x) for x in part[ids].to_pylist()]
+                yield pa.RecordBatch.from_arrays([*(part[c] for c in keep), pa.array(texts, pa.string())], names=[*keep, text])
 
-    return decoded(ids)
+    schema = T.StructType([*(docs.schema[c] for c in keep), T.StructField(text, T.StringType())])
+    return docs.select(*keep).mapInArrow(decoded, schema)

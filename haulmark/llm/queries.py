@@ -87,9 +87,8 @@ TOKENIZERS = "/opt/tokenizers"
 def op6_viterbi_pieces(spark: SparkSession, sf_dir: str, model: str = f"{TOKENIZERS}/piece_bpe_32k.model") -> DataFrame:
     """Piece ids of every document, and whether decoding them gives the text back."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    docs = docs.withColumn("ids", pieces.encode(spark, F.col("text"), model))
-    same = pieces.decode(spark, F.col("ids"), model) == F.coalesce("text", F.lit(""))
-    return docs.select("doc_id", F.size("ids").alias("n_tokens"), "ids", same.alias("round_trip"))
+    coded = pieces.encode(docs, model, keep=["doc_id"], round_trip="round_trip")
+    return coded.select("doc_id", F.size("ids").alias("n_tokens"), "ids", "round_trip")
 
 
 def op7_voronoi_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:

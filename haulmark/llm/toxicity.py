@@ -53,7 +53,7 @@ BEGINNINGS = (4, 5, 6, 7)
 STEPS = (1, 2, 4, 8)
 SPACE_SIZE = 1 << 20
 #: Words whose hashes a task keeps.
-KNOWN = 500_000
+KNOWN = 100_000
 
 
 def _bases(word: str) -> list[int]:
@@ -67,7 +67,7 @@ class _Counts:
     `wanted`: hashes that matter; None for all."""
 
     def __init__(self, wanted: Iterable[int] | None = None):
-        self.known: dict[str, list[int]] = {}
+        self.known: dict[str, tuple[int, ...]] = {}
         self.wanted = None if wanted is None else frozenset(wanted)
 
     def of(self, words: Counter[str]) -> Counter[int]:
@@ -76,7 +76,7 @@ class _Counts:
         for word, n in words.items():
             bases = known.get(word)
             if bases is None:
-                bases = _bases(word) if wanted is None else [x for x in _bases(word) if x in wanted]
+                bases = tuple(x for x in _bases(word) if wanted is None or x in wanted)
                 if len(known) >= KNOWN:
                     known.clear()
                 known[word] = bases
