@@ -73,3 +73,22 @@ def test_gap_to_the_previous_event_of_the_key(spark):
         5: (None, None),
         6: (None, None),
     }
+
+
+def test_rows_without_a_key_are_spread_and_crowded_instants_stay_whole(spark):
+    at = datetime(2024, 1, 1)
+    rows = [(None if i % 3 == 0 else 1, at if i % 3 == 1 else at + timedelta(seconds=i)) for i in range(6000)]
+    events = spark.createDataFrame(rows, "key int, ts timestamp_ntz").repartition(4)
+    found = cumulative_count(events, events, ["key"], "ts", "ts", "n")
+    names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.coalescePartitions.enabled")
+    before = {name: spark.conf.get(name) for name in names}
+    for name, value in zip(names, ("-1", "false")):
+        spark.conf.set(name, value)
+    try:
+        parts = found.where("key is null").groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert len(parts) > 1 and max(r["count"] for r in parts) < 1500
+    counts = Counter((r["key"], r["n"]) for r in found.where(F.col("ts") == at).collect())
+    assert counts == Counter({(1, 2000): 2000, (None, 0): 1})

@@ -112,3 +112,11 @@ def test_semi_and_anti_joins_are_planned_as_such(spark):
 def test_scans_read_only_the_columns_they_need(spark):
     text = plan(queries.q_ingestion_audit(spark, SF_DIR))
     assert "ReadSchema: struct<ts:timestamp_ntz>" in text
+
+
+def test_instants_are_read_and_shuffled_once(spark):
+    df = queries.q_asof_cumulative_count(spark, SF_DIR)
+    df.collect()
+    final = plan(df).split("Initial Plan")[0]
+    assert len(re.findall(r"FileScan", final)) <= 3
+    assert "ReusedExchange" in final
