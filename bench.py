@@ -18,7 +18,7 @@ from suite.queries import QUERIES
 HEADLINE = (
     "enrich_positions",
     "enrich_positions_delta",
-    "interval_join_direct",
+    "flat_file",
     "interval_join_bucketed",
     "interval_join_composite_key",
     "incremental_delta",

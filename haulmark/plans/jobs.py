@@ -127,6 +127,12 @@ def rebuild_flat_file(
     write_partitioned(rows, path, "sourcesystemdate", "overwrite")
 
 
+def _survival_by_make_site(spark: SparkSession, database: str, intervals: DataFrame) -> DataFrame:
+    names = ("operationalasset", "lookuptable", "operationalview", "tableattribute")
+    tables = (catalog_table(spark, database, name) for name in names)
+    return survival.survival_by_make_site(intervals, *tables)
+
+
 def maintenance_reports(spark: SparkSession, database: str) -> dict[str, DataFrame]:
     """Every maintenance report over the tables of `database`, by name."""
 
@@ -154,15 +160,21 @@ def maintenance_reports(spark: SparkSession, database: str) -> dict[str, DataFra
         "fault_causes": maintenance.fault_causes(asset, codes, view, worktype, workorder),
         "usage_rate": maintenance.usage_rate(asset, codes, view, meter),
         "survival": intervals,
-        "survival_by_make_site": survival.survival_by_make_site(
-            intervals, asset, codes, view, attribute
-        ),
+        "survival_by_make_site": _survival_by_make_site(spark, database, intervals),
     }
 
 
 def run_reports(spark: SparkSession, database: str, path: str) -> None:
-    """Write every maintenance report below `path`; the timeline listing as CSV."""
-    for name, report in maintenance_reports(spark, database).items():
+    """Write every maintenance report below `path`; the timeline listing as CSV.
+
+    The report by make and site is made from the survival data as written.
+    """
+    reports = maintenance_reports(spark, database)
+    write_report(reports.pop("survival"), f"{path}/survival")
+    reports["survival_by_make_site"] = _survival_by_make_site(
+        spark, database, spark.read.parquet(f"{path}/survival")
+    )
+    for name, report in reports.items():
         if name == "timeline_listing":
             write_csv(report, f"{path}/{name}")
         else:

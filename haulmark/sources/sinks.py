@@ -7,14 +7,17 @@ from pyspark.sql import DataFrame, SparkSession
 from haulmark.sources.tables import table_name
 
 
-def write_partitioned(df: DataFrame, path: str, partition: str, mode: str) -> None:
+def write_partitioned(
+    df: DataFrame, path: str, partition: str, mode: str, rebalance: bool = True
+) -> None:
     """Write Parquet by `partition`; mode is append, or overwrite to replace every partition.
 
     Rows are rebalanced by the partition column first: a small partition ends in one file,
-    and a partition holding much of the data is cut into several tasks and files.
+    and a partition holding much of the data is cut into several tasks and files. Without
+    `rebalance` this shuffle is saved where the rows come clustered or files may be many.
     """
-    rebalanced = df.hint("rebalance", partition)
-    rebalanced.write.mode(mode).option("partitionOverwriteMode", "static").partitionBy(
+    rows = df.hint("rebalance", partition) if rebalance else df
+    rows.write.mode(mode).option("partitionOverwriteMode", "static").partitionBy(
         partition
     ).parquet(path)
 
