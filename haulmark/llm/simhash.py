@@ -59,7 +59,7 @@ def hexadecimal(fp: Column) -> Column:
 
 
 def _anchors(word: Column, half: int, threshold: int) -> Column:
-    """Array of (anchor, home) of a 32-bit word: every anchor within 1 + `threshold` bits."""
+    """Every anchor within 1 + `threshold` bits of a 32-bit word; without a threshold its nearest, the home."""
     low = word.bitwiseAND(F.lit(0x7FFFFFFF).cast("long"))
     parity = [F.shiftleft(F.bit_count(low.bitwiseAND(F.lit(m).cast("long"))).bitwiseAND(F.lit(1)), k) for k, m in enumerate(PARITY)]
     syndrome = parity[0] + parity[1] + parity[2] + parity[3] + parity[4]
@@ -71,16 +71,13 @@ def _anchors(word: Column, half: int, threshold: int) -> Column:
     nearest = F.when(syndrome == 0, word).otherwise(word.bitwiseXOR(bit(F.greatest(syndrome, F.lit(1)))))
     offset = F.lit(half << 32).cast("long")
 
-    def entry(anchor: Column, home: bool) -> Column:
-        return F.struct((anchor + offset).alias("anchor"), F.lit(home).alias("home"))
-
-    found = F.array(entry(nearest, True))
+    found = F.array(nearest + offset)
     if threshold:
-        other_last_bit = entry(nearest.bitwiseXOR(F.lit(1 << 31).cast("long")), False)
+        other_last_bit = nearest.bitwiseXOR(F.lit(1 << 31).cast("long")) + offset
         # a word off the code has the words at two bits from it: the pairs of places whose sum is its syndrome
         firsts = F.filter(F.sequence(F.lit(1), F.lit(31)), lambda i: (i < i.bitwiseXOR(syndrome)) & (i != syndrome))
         second = F.transform(
-            firsts, lambda i: entry(word.bitwiseXOR(bit(i)).bitwiseXOR(bit(i.bitwiseXOR(syndrome))), False)
+            firsts, lambda i: word.bitwiseXOR(bit(i)).bitwiseXOR(bit(i.bitwiseXOR(syndrome))) + offset
         )
         found = F.concat(found, F.array(other_last_bit), second)
     return found
@@ -97,10 +94,12 @@ def near_pairs(nodes: DataFrame, distance: int = 2) -> DataFrame:
         raise ValueError("the code on halves serves distances from 0 to 3")
     low = F.col("fp").bitwiseAND(F.lit(0xFFFFFFFF).cast("long"))
     high = F.shiftrightunsigned("fp", 32)
-    anchors = F.concat(_anchors(low, 0, distance // 2), _anchors(high, 1, distance // 2))
-    spread = nodes.select("node", "fp", F.inline(anchors))
-    homes = spread.filter("home").select("anchor", F.col("node").alias("a"), F.col("fp").alias("fp_a"))
-    guests = spread.select("anchor", F.col("node").alias("b"), F.col("fp").alias("fp_b"))
+
+    def spread(threshold: int, node: str, fp: str) -> DataFrame:
+        anchors = F.concat(_anchors(low, 0, threshold), _anchors(high, 1, threshold))
+        return nodes.select(F.col("node").alias(node), F.col("fp").alias(fp), F.explode(anchors).alias("anchor"))
+
+    homes, guests = spread(0, "a", "fp_a"), spread(distance // 2, "b", "fp_b")
     near = F.bit_count(F.col("fp_a").bitwiseXOR(F.col("fp_b"))) <= distance
     return homes.join(guests, "anchor").filter((F.col("fp_a") < F.col("fp_b")) & near).select("a", "b")
 
