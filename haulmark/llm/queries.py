@@ -150,7 +150,46 @@ QUERIES: dict[str, Query] = {
     "op10_hash_tree": op10_hash_tree,
 }
 
+#: CRC-32 table and checksum by the bitwise rule; the tree of 5 regions of 2 racks of 4 shards, and a sixth region.
+_HASH_TREE_SQL = """
+    WITH crc AS (
+        SELECT list(list_reduce([i] || [0 for k in range(8)], lambda c, k:
+            CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS entry
+        FROM range(256) t(i)
+    ), d AS (
+        SELECT row_number() OVER () AS n, doc_id, coalesce(CAST(doc_id AS VARCHAR), 'null') AS key,
+               hex(encode(coalesce(text, ''))) AS h
+        FROM documents
+    ), c AS (
+        SELECT n, doc_id, key, len(h) // 2 + 16 AS size,
+               xor(list_reduce([4294967295] || [CAST('0x' || h[2 * i + 1:2 * i + 2] AS BIGINT) for i in range(len(h) // 2)],
+                   lambda a, b: xor(a >> 8, entry[xor(a, b) % 256 + 1])), 4294967295) AS text_crc32
+        FROM d, crc
+    ), region AS (
+        SELECT c.*, r, -ln((CAST('0x' || substr(md5(key || '/' || r), 1, 13) AS BIGINT) + 0.5) / 4503599627370496.0)
+               / CASE WHEN r = 5 THEN 1.0 ELSE 8.0 END AS draw
+        FROM c, range(6) t(r)
+    ), rooted AS (
+        SELECT n, doc_id, key, size, text_crc32, arg_min(r, draw) FILTER (r < 5) AS region, arg_min(r, draw) = 5 AS moves
+        FROM region GROUP BY ALL
+    ), racked AS (
+        SELECT n, doc_id, key, size, text_crc32, region, moves,
+               arg_min(k, -ln((CAST('0x' || substr(md5(key || '/' || region || '/' || k), 1, 13) AS BIGINT) + 0.5) / 4503599627370496.0)) AS rack
+        FROM rooted, range(2) t(k) GROUP BY ALL
+    ), placed AS (
+        SELECT n, doc_id, key, size, text_crc32, moves, region * 8 + rack * 4 + arg_min(s,
+               -ln((CAST('0x' || substr(md5(key || '/' || region || '/' || rack || '/' || (region * 8 + rack * 4 + s)), 1, 13) AS BIGINT) + 0.5)
+               / 4503599627370496.0)) AS shard
+        FROM racked, range(4) t(s) GROUP BY n, doc_id, key, size, text_crc32, moves, region, rack
+    )
+    SELECT doc_id, size, CAST(text_crc32 AS BIGINT) AS text_crc32, 'key' AS law, CAST(shard AS INTEGER) AS shard,
+           row_number() OVER (PARTITION BY shard ORDER BY CAST('0x' || substr(md5(key || ':' || text_crc32), 1, 6) AS INTEGER) % 4096,
+                              doc_id NULLS FIRST, size, text_crc32) - 1 AS slot,
+           CAST(CASE WHEN moves THEN 40 ELSE shard END AS INTEGER) AS grown_shard
+    FROM placed"""
+
 ORACLE: dict[str, str] = {
+    "op10_hash_tree": _HASH_TREE_SQL,
     "op7_voronoi_top_k": """
         WITH v AS (
             SELECT vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) for x in embedding] AS e

@@ -9,7 +9,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from haulmark.llm import sharding
-from haulmark.llm.queries import op10_hash_tree
+from haulmark.llm.queries import ORACLE, op10_hash_tree
+from oracle_check import connect, differences
 
 
 def _draw(key, path):
@@ -48,6 +49,12 @@ def test_query_against_brute_force(spark):
     assert _gapless(rows)
 
 
+def test_query_matches_its_sql(spark):
+    sf = "/root/testdata/sf0.001"
+    with connect(sf) as connection:
+        assert differences(op10_hash_tree(spark, sf), connection, ORACLE["op10_hash_tree"]) == []
+
+
 def test_growth_moves_rows_only_into_the_new_shard(spark):
     tree = sharding.even_tree(6)
     for _ in range(3):
