@@ -7,8 +7,11 @@ depends on the lines alone, so every run of at least `gram + window - 1` words t
 has a selected gram at the same place of both occurrences.
 
 Each selected gram is joined with its first occurrence and the match extended line by line both ways,
-as far as the same number of words; longer runs hold further grams that carry on. The lines of the
-later occurrence are deleted. Every deleted line has an equal line earlier, so one copy of each stays.
+as far as the same number of words before its start and behind its end. Fewer than these follow the
+last selected gram of a run, however long its lines are, and before that further grams carry on. A gram
+whose first occurrence lies in another text than the rest of its run is extended along that text only.
+The lines of the later occurrence are deleted. Every deleted line has an equal line earlier, so one copy
+of each stays.
 """
 
 from __future__ import annotations
@@ -31,22 +34,27 @@ def fingerprints(docs: DataFrame, key: str, text: str, gram: int, window: int) -
     reach = gram + window - 1
     of_text = Window.partitionBy("_key", "_text")
     before = F.coalesce(F.sum("words").over(of_text.orderBy("line").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    lines = _lines(docs, key, text).withColumn("start", before.cast("long"))
+    # with the words of a line counted up to `gram`, grams stay the same and end within 2 * gram - 1
+    short = F.sum(F.least("words", F.lit(gram))).over(of_text.orderBy("line").rowsBetween(Window.unboundedPreceding, -1))
+    lines = _lines(docs, key, text).withColumns({"start": before.cast("long"), "place": F.coalesce(short, F.lit(0)).cast("long")})
     along = of_text.orderBy("start")
-    here = F.struct("line", "h", (F.col("start") + F.col("words")).alias("end"))
-    lines = lines.withColumn("ahead", F.collect_list(here).over(along.rangeBetween(0, reach)))
+    here = F.struct("line", "h", "start", (F.col("start") + F.col("words")).alias("end"))
+    lines = lines.withColumn("ahead", F.collect_list(here).over(of_text.orderBy("place").rangeBetween(0, 2 * gram + reach - 2)))
     lines = lines.withColumn("behind", F.collect_list(here).over(along.rangeBetween(-reach, -1)))
     # the lines of the gram begin before it has all its words; it is whole if it gets them
     own = F.filter("ahead", lambda x, i: (i == 0) | (F.element_at("ahead", F.greatest(i, F.lit(1)))["end"] < F.col("start") + gram))
-    whole = F.element_at(own, -1)["end"] >= F.col("start") + gram
-    lines = lines.withColumn("g", F.when(whole, F.xxhash64(F.transform(own, lambda x: x["h"]))))
+    lines = lines.withColumn("own", own).withColumn("end", F.element_at("own", -1)["end"])
+    whole = F.col("end") >= F.col("start") + gram
+    lines = lines.withColumn("g", F.when(whole, F.xxhash64(F.transform("own", lambda x: x["h"]))))
     least = F.min(F.when(F.col("g").isNotNull(), F.struct("g", "line"))).over(along.rangeBetween(0, window - 1))
     lines = lines.withColumn("least", least["line"])
     chosen = F.collect_list("least").over(along.rangeBetween(1 - window, 0))
     lines = lines.withColumn("selected", F.array_contains(chosen, F.col("line")))
 
     def slim(column: str) -> Column:
-        return F.transform(column, lambda x: F.struct(x["line"], x["h"])).alias(column)
+        # at most reach - 1 words follow the last selected gram of a run, so its last line begins by then
+        near = F.filter(column, lambda x: x["start"] <= F.greatest(F.col("end") - 2, F.col("start")) + reach)
+        return F.transform(near, lambda x: F.struct(x["line"], x["h"])).alias(column)
 
     return lines.filter("selected and g is not null").select("g", "_key", "_text", "line", slim("behind"), slim("ahead"))
 

@@ -121,6 +121,23 @@ def test_whole_table(spark):
     assert before == {x for t in want.values() for x in t.split("\n") if x.strip()}  # one copy of each line stays
 
 
+@pytest.mark.parametrize(("gram", "window"), [(3, 4), (25, 26)])
+def test_whole_runs_go_however_long_their_lines_are(spark, gram, window):
+    rng, n = random.Random(window), iter(range(10**6))
+    line = lambda: " ".join(f"w{next(n)}" for _ in range(rng.choice([1, 2, 5, 12, 24, 60, 130])))
+    source = [line() for _ in range(120)]
+    rows, own = {0: "\n".join(source)}, {0: "\n".join(source)}
+    for k in range(1, 60):
+        a = b = rng.randrange(100)
+        while sum(len(x.split()) for x in source[a:b]) < gram + window - 1 or rng.random() < 0.6:
+            b += 1
+        before, behind = line(), line()
+        rows[k], own[k] = "\n".join([before, *source[a:b], behind]), f"{before}\n{behind}"
+    docs = spark.createDataFrame(list(rows.items()), "doc_id bigint, text string")
+    got = {r["doc_id"]: r["text"] for r in linededup.remove_repeated_runs(docs, gram=gram, window=window).collect()}
+    assert got == own
+
+
 def test_copies_keep_one_and_short_lines_stay(spark):
     text = "\n".join(f"line {k} has some words in it" for k in range(10))
     rows = {1: text, 2: text, 3: "Yes.\n" + text + "\nNo.", 4: "Yes.\nNo.", 5: "Yes.\nNo."}
