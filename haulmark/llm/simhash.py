@@ -143,21 +143,36 @@ def components(links: DataFrame) -> DataFrame:
     return links.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
+def named_components(prints: DataFrame, distance: int = 2) -> DataFrame:
+    """(fp, root, component_id) of each fingerprint in `prints` (_key, fp).
+
+    Fingerprints are linked whatever their keys; root is the smallest one reachable, and component_id
+    the smallest key of the component, null if it has none.
+    """
+    nodes = written(prints.groupBy("fp").agg(F.min("_key").alias("least")), "nodes")
+    roots = components(near_pairs(nodes.select(F.col("fp").alias("node"), "fp"), distance))
+    rooted = nodes.join(roots, nodes["fp"] == roots["node"], "left").select("fp", F.coalesce("root", "fp").alias("root"), "least")
+    rooted = written(rooted, "rooted")
+    firsts = written(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "firsts")
+    return written(rooted.join(firsts, "root").select("fp", "root", "component_id"), "components")
+
+
+def rooted_documents(docs: DataFrame, shingle: int = 3, distance: int = 2, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row per document: _key, _text (hash of the text), fp, root and component_id of `named_components`."""
+    prints = docs.select(F.col(key).alias("_key"), F.xxhash64(text).alias("_text"), fingerprint(F.col(text), shingle).alias("fp"))
+    prints = written(prints, "fingerprints")
+    return prints.join(named_components(prints, distance), "fp").select("_key", "_text", "fp", "root", "component_id")
+
+
 def near_duplicates(
     docs: DataFrame, shingle: int = 3, distance: int = 2, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """One row per document: key, fp (signed long) and component_id, the smallest key reachable.
 
-    Equal fingerprints are one node of the graph, named by its smallest key, so copies are never
+    Equal fingerprints are one node of the graph, named by the fingerprint, so copies are never
     paired. Null and empty texts, and texts of white space, have fingerprint zero and are linked
     like others; shorter texts than a shingle count as one shingle. Repeated rows stay repeated.
-    A row with a null key gets the component of its fingerprint, null if no row with a key has it. Other columns are ignored; an empty table gives no rows.
+    A row with a null key links like others and gets the component of its fingerprint, null if no row of that has a key.
+    Other columns are ignored; an empty table gives no rows.
     """
-    prints = written(docs.select(F.col(key).alias("_key"), fingerprint(F.col(text), shingle).alias("fp")), "fingerprints")
-    nodes = prints.groupBy("fp").agg(F.min("_key").alias("node")).filter("node is not null")
-    nodes = written(nodes, "nodes")
-    roots = components(near_pairs(nodes, distance))
-    named = written(
-        nodes.join(roots, "node", "left").select("fp", F.coalesce("root", "node").alias("component_id")), "components"
-    )
-    return prints.join(named, "fp", "left").select(F.col("_key").alias(key), "fp", "component_id")
+    return rooted_documents(docs, shingle, distance, key, text).select(F.col("_key").alias(key), "fp", "component_id")

@@ -82,6 +82,13 @@ def test_nulls_repeats_short_texts_and_empty_table(spark):
     assert simhash.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_rows_without_a_key_link_and_repeated_keys_do_not(spark):
+    rows = [(5, 0b0), (None, 0b11), (7, 0b1111), (None, 0b1 << 40 | 0xFF << 20), (9, 0x7F << 50), (9, -1), (12, -2)]
+    got = {r["fp"]: (r["root"], r["component_id"]) for r in simhash.named_components(spark.createDataFrame(rows, "_key bigint, fp bigint")).collect()}
+    lone = 0b1 << 40 | 0xFF << 20
+    assert got == {0: (0, 5), 3: (0, 5), 15: (0, 5), lone: (lone, None), 0x7F << 50: (0x7F << 50, 9), -1: (-2, 9), -2: (-2, 9)}
+
+
 def test_only_native_work_after_the_fingerprints(spark):
     nodes = spark.range(10).select(F.col("id").alias("node"), F.col("id").alias("fp"))
     plan = simhash.near_pairs(nodes)._jdf.queryExecution().executedPlan().toString()
