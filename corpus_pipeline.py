@@ -36,11 +36,14 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash component, the one with the smallest id; rows without an id stay.
 
-    Rows that repeat an id are one document, of which one row stays."""
-    found = simhash.near_duplicates(docs, shingle=3, distance=2)
-    first = found.filter("doc_id = component_id").select(F.col("doc_id").alias("_first")).distinct()
-    kept = docs.join(first, F.col("doc_id") == F.col("_first")).drop("_first").dropDuplicates(["doc_id"])
-    return kept.select(docs.columns).unionByName(docs.filter("doc_id is null"))
+    Of rows that share this id the text with the smallest hash stays, and of rows equal in both the
+    first by their other columns. Rows that repeat an id in different components are different documents."""
+    found = simhash.rooted_documents(docs, shingle=3, distance=2).filter("_key is not null")
+    first = found.groupBy("root").agg(F.min(F.struct("_key", "_text")).alias("first")).select("first.*")
+    kept = docs.join(first, (docs["doc_id"] == first["_key"]) & (F.xxhash64(docs["text"]) == first["_text"]))
+    others = F.to_json(F.struct(*(docs[c] for c in docs.columns if c not in ("doc_id", "text")), F.lit(0).alias("_")))
+    kept = kept.groupBy("_key", "_text").agg(F.min_by(F.struct(*(docs[c] for c in docs.columns)), others).alias("row"))
+    return kept.select("row.*").unionByName(docs.filter("doc_id is null"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

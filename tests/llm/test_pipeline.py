@@ -59,6 +59,16 @@ def test_stages_over_the_whole_table(spark, tmp_path):
     assert run == Counter((r["doc_id"], r["n_tokens"]) for r in kept["sentencepiece_encoding"])
 
 
+def test_rows_that_repeat_an_id_stay_if_no_near_copy(spark):
+    texts = [" ".join(f"w{k}x{n}" for n in range(60)) for k in range(4)]
+    rows = [(1, texts[0], "a"), (1, texts[0], "b"), (1, texts[1], "c"), (2, texts[1], "d"), (2, texts[2], "e"), (3, texts[2], "f"), (None, texts[3], "g")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    for given in (docs, docs.repartition(5)):
+        out = pipeline.drop_near_copies(spark, given, SF)
+        assert out.columns == docs.columns and out.dtypes == docs.dtypes
+        assert {tuple(r) for r in out.collect()} == {rows[0], rows[2], rows[4], rows[6]} and out.count() == 4
+
+
 def test_nulls_repeats_extra_columns_and_empty_table(spark):
     rows = [(1, "a b c", "en", "s", 5), (1, "a b c", "en", "s", 5), (None, None, None, None, None), (2, "", None, "s", 0), (3, None, "de", None, 0), (4, "w " * 30_000, "en", "t", 60_000)]
     schema = "doc_id bigint, text string, lang string, source string, n_chars bigint, toxicity int, fp string"
