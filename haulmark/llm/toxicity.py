@@ -215,6 +215,7 @@ def train(
             yield pd.DataFrame({"y": batch["y"].to_numpy(), "own": [own(w) for w in words], "changed": changed})
 
     sample = labelled.mapInPandas(placed, "y int, own array<int>, changed array<int>").collect()
+    sample.sort(key=lambda r: (r["y"], r["own"], r["changed"] or []))  # sums of floats depend on the order
     pairs = [i for i, r in enumerate(sample) if r["changed"] is not None]
     texts = [r["own"] for r in sample] + [sample[i]["changed"] for i in pairs]
     rows = np.repeat(np.arange(len(texts)), [len(x) for x in texts])
@@ -243,12 +244,15 @@ def held_out(key: Column) -> Column:
 def sample_labelled(docs: DataFrame, labels: DataFrame, rows: int = 12_000, key: str = "doc_id", label: str = "toxic") -> DataFrame:
     """Text and label of at most `rows` keys that may be learnt from, the first by hash.
 
-    Several labels of one key: the largest counts. A null key has no label.
+    Several labels of one key: the largest counts. Several rows of one key: the text with the smallest
+    hash. A null key has no label.
     """
     usable = labels.select(key, label).filter(F.col(key).isNotNull() & F.col(label).isNotNull() & ~held_out(F.col(key)))
     usable = usable.groupBy(key).agg(F.max(label).alias("_label"))
     chosen = usable.orderBy(F.xxhash64(key), key).limit(rows)
-    return docs.select(key, "text").join(F.broadcast(chosen), key).select("text", F.col("_label").alias(label))
+    met = docs.select(key, "text").join(F.broadcast(chosen), key)
+    met = met.groupBy(key).agg(F.min_by("text", F.xxhash64("text")).alias("text"), F.max("_label").alias(label))
+    return met.select("text", label)
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", sample: int = 12_000) -> DataFrame:

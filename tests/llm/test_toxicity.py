@@ -83,6 +83,15 @@ def test_without_both_classes_scores_are_zero(spark, labels):
     assert [r["toxicity"] for r in got.collect()] == [0.0] * 4
 
 
+def test_sample_has_one_row_a_key(spark):
+    docs = spark.createDataFrame([(k, f"text {k} {c % 3}") for k in range(20) for c in range(50)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(20)], "doc_id bigint, toxic int")
+    usable = sum(zlib.crc32(str(k).encode()) % 4 != 2 for k in range(20))
+    for n in (5, 100):
+        first, again = (toxicity.sample_labelled(d, labels, n).collect() for d in (docs, docs.repartition(7)))
+        assert len(first) == min(n, usable) and sorted(first) == sorted(again)
+
+
 def test_nulls_long_texts_repeats_and_empty_table(spark):
     rows = [(i, t, 0) for i, (t, _) in enumerate(_sentences(300))] + [(1000, None, 0), (1001, "", 0), (None, "idiot", 0), (1002, "fine " * 100_000 + "idiot", 0), (1, _sentences(300)[1][0], 0)]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, y int")
