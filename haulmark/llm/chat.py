@@ -76,8 +76,7 @@ def format_conversations(
         .agg(F.sort_array(F.collect_list("row")).alias("rows"))
     )
     parts = _with_context(parts, history_turns)
-    capacity = F.greatest(F.lit(budget - history) - F.coalesce(F.col("system")["tokens"], F.lit(0)), F.lit(1))
-    parts = parts.withColumn("spans", _spans(capacity, budget))
+    parts = parts.withColumn("spans", _spans(budget, history))
     windows = parts.select("*", F.posexplode("spans").alias("window", "span"))
 
     earlier = F.slice("rows", F.lit(1), F.col("span")["first"] - 1)
@@ -136,20 +135,26 @@ def _with_context(parts: DataFrame, history_turns: int) -> DataFrame:
     return parts.join(ends, same, "left").drop("_conv", "_part")
 
 
-def _spans(capacity: Column, budget: int) -> Column:
-    """Array of (first, n): a turn opens a new span when the prefix sum leaves the span's room."""
+def _spans(budget: int, history: int) -> Column:
+    """Array of (first, n): a turn opens a new span when the prefix sum leaves the span's room.
+
+    The room is `budget` less the history and the system turn before the span, if there is one
+    (`system`, tokens of the first one so far; `repeated`, those before the span)."""
+    inherited = F.coalesce(F.col("system")["tokens"], F.lit(0))
     start = F.struct(
         F.lit(0).alias("at"),
         F.lit(0).cast("long").alias("prefix"),
         F.lit(0).cast("long").alias("floor"),
         F.expr("cast(array() as array<struct<first:int,n:int>>)").alias("done"),
         F.lit(1).alias("first"),
+        inherited.alias("system"),
+        inherited.alias("repeated"),
     )
-    opening = F.when(F.col("tail").isNull(), F.lit(budget)).otherwise(capacity)
 
     def step(acc: Column, row: Column) -> Column:
         end = acc["prefix"] + row["tokens"]
-        room = F.when(F.size(acc["done"]) == 0, opening).otherwise(capacity)
+        room = F.greatest(F.lit(budget - history) - acc["repeated"], F.lit(1))
+        room = F.when((F.size(acc["done"]) == 0) & F.col("tail").isNull(), F.lit(budget)).otherwise(room)
         full = (acc["at"] + 1 > acc["first"]) & (end - acc["floor"] > room)
         closed = F.struct(acc["first"].alias("first"), (acc["at"] + 1 - acc["first"]).alias("n"))
         return F.struct(
@@ -158,6 +163,8 @@ def _spans(capacity: Column, budget: int) -> Column:
             F.when(full, acc["prefix"]).otherwise(acc["floor"]).alias("floor"),
             F.when(full, F.concat(acc["done"], F.array(closed))).otherwise(acc["done"]).alias("done"),
             F.when(full, acc["at"] + 1).otherwise(acc["first"]).alias("first"),
+            F.when((acc["system"] == 0) & (row["role"] == "system"), row["tokens"]).otherwise(acc["system"]).alias("system"),
+            F.when(full, acc["system"]).otherwise(acc["repeated"]).alias("repeated"),
         )
 
     def finish(acc: Column) -> Column:

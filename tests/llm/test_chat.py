@@ -75,5 +75,14 @@ def test_windows_keep_budget_system_and_history(spark):
     assert at == len(rows)
 
 
+@pytest.mark.parametrize("at", [0, 5])
+def test_system_turn_of_the_first_part_counts(spark, at):
+    rows = [(1, t, "system" if t == at else "user", f"a{t} b c d", 0, "") for t in range(30)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    found = chat.format_conversations(df, budget=40, history=16, history_turns=4).orderBy("window").collect()
+    assert [w["tokens"] for w in found[1:-1]] == [40] * (len(found) - 2) and found[0]["tokens"] == 40
+    assert sum(w["n_new"] for w in found) == 30 and all("### system" in w["formatted"] for w in found[1:])
+
+
 def test_empty_table(spark):
     assert chat.format_conversations(spark.createDataFrame([], SCHEMA)).count() == 0
