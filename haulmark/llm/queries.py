@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haulmark.llm import chat, linededup, mixing, pieces, pii, quality, sharding, simhash, topk, toxicity
+from haulmark.llm import chat, collocations, linededup, mixing, pieces, pii, prefix_trie, quality, sharding, simhash, style_tree, topk, toxicity
+from haulmark.llm.common import written
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -137,6 +138,24 @@ def op10_hash_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_burst_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prefix trie of the conversations, each begun with the first turns of the first of its five."""
+    turns = written(prefix_trie.numbered_turns(_table(spark, sf_dir, "conversations")), "numbered")
+    base, shared = F.expr("conv_id - conv_id % 5"), F.expr("crc32(cast(conv_id as string)) % 9")
+    return prefix_trie.prefix_trie(*prefix_trie.branched(turns, base, shared, most=8))
+
+
+def op12_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    found = style_tree.main_text(_table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+def op13_setm_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2,000 best phrases of each language."""
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_chat_windows": op1_chat_windows,
     "op2_simhash_components": op2_simhash_components,
@@ -148,6 +167,9 @@ QUERIES: dict[str, Query] = {
     "op8_quality_votes": op8_quality_votes,
     "op9_line_runs": op9_line_runs,
     "op10_hash_tree": op10_hash_tree,
+    "op11_burst_trie": op11_burst_trie,
+    "op12_style_tree": op12_style_tree,
+    "op13_setm_collocations": op13_setm_collocations,
 }
 
 #: CRC-32 table and checksum by the bitwise rule; the tree of 5 regions of 2 racks of 4 shards, and a sixth region.
@@ -190,6 +212,89 @@ _HASH_TREE_SQL = """
 
 ORACLE: dict[str, str] = {
     "op10_hash_tree": _HASH_TREE_SQL,
+    "op11_burst_trie": """
+    WITH crc AS (
+        SELECT list(list_reduce([i] || [0 for k in range(8)], lambda c, k:
+            CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS entry
+        FROM range(256) t(i)
+    ), own AS (
+        SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS rank,
+               md5(concat(strlen(coalesce(role, '')), ':', coalesce(role, ''), coalesce(text, ''))) AS id, strlen(coalesce(text, '')) AS size
+        FROM conversations WHERE conv_id IS NOT NULL
+    ), conv AS (
+        SELECT conv_id, n, hex(encode(CAST(conv_id AS VARCHAR))) AS h, conv_id - conv_id % 5 AS base
+        FROM (SELECT conv_id, count(*) AS n FROM own GROUP BY conv_id)
+    ), branch AS (
+        SELECT conv_id, n, base, xor(list_reduce([4294967295] || [CAST('0x' || h[2 * i + 1:2 * i + 2] AS BIGINT) for i in range(len(h) // 2)],
+                   lambda a, b: xor(a >> 8, entry[xor(a, b) % 256 + 1])), 4294967295) % 9 AS shared
+        FROM conv, crc
+    ), taken AS (
+        SELECT b.conv_id, b.base, b.shared, least(b.shared, coalesce(o.n, 0)) AS taken FROM branch b LEFT JOIN branch o ON o.conv_id = b.base
+    ), turn AS (
+        SELECT t.conv_id, o.rank AS depth, o.id, o.size FROM taken t JOIN own o ON o.conv_id = t.base AND o.rank <= t.shared
+        UNION ALL
+        SELECT t.conv_id, t.taken + o.rank - t.shared, o.id, o.size FROM taken t JOIN own o ON o.conv_id = t.conv_id AND o.rank > t.shared
+    ), walk AS (
+        SELECT conv_id, depth, size, md5(string_agg(id, '') OVER (PARTITION BY conv_id ORDER BY depth)) AS name FROM turn
+        UNION ALL SELECT conv_id, 0, 0, '' FROM taken
+    ), linked AS (
+        SELECT *, lag(name) OVER c AS above, lead(name) OVER c IS NULL AS ends FROM walk WINDOW c AS (PARTITION BY conv_id ORDER BY depth)
+    ), node AS (
+        SELECT depth, name, above, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * max(size) AS saved,
+               sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+        FROM linked GROUP BY depth, name, above
+    ), parent AS (
+        SELECT n.*, p.conv_id AS parent_conv_id, (SELECT count(*) FROM node c WHERE c.above = n.name AND c.depth = n.depth + 1) AS n_children
+        FROM node n LEFT JOIN node p ON p.name = n.above AND p.depth = n.depth - 1
+    ), subtree AS (
+        SELECT w.depth, w.name, count(*) FILTER (p.n_children = 0) AS n_leaves, sum(p.saved) AS saved_tokens
+        FROM parent p JOIN walk w ON w.conv_id = p.conv_id AND w.depth <= p.depth GROUP BY w.depth, w.name
+    )
+    SELECT conv_id, CAST(depth AS BIGINT) AS depth, parent_conv_id, n_convs, n_children, n_leaves,
+           CAST(saved_tokens AS BIGINT) AS saved_tokens, ends_sha256
+    FROM parent JOIN subtree USING (depth, name)""",
+    "op13_setm_collocations": r"""
+        WITH piece AS (
+            SELECT row_number() OVER () AS piece, lang, p FROM (
+                SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+                    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS p
+                FROM documents)
+        ), listed AS (
+            SELECT piece, lang, regexp_extract_all(p, '[^\x20\x09]+') AS ws FROM piece
+        ), word AS (
+            SELECT piece, lang, unnest(ws) AS w, generate_subscripts(ws, 1) AS pos FROM listed
+        ), total AS (
+            SELECT lang, count(*) AS n FROM word GROUP BY lang
+        ), often AS (
+            SELECT lang, w FROM word GROUP BY ALL HAVING count(*) >= 100
+        ), run AS (
+            SELECT piece, lang, pos, w, lead(w, 1) OVER p AS w2, lead(w, 2) OVER p AS w3, lead(w, 3) OVER p AS w4, lead(w, 4) OVER p AS w5
+            FROM word WINDOW p AS (PARTITION BY piece ORDER BY pos)
+        ), phrase AS (
+            SELECT lang, ws, count(*) AS a FROM (
+                SELECT lang, [w] AS ws FROM run SEMI JOIN often USING (lang, w)
+                UNION ALL SELECT lang, [w, w2] FROM run SEMI JOIN often USING (lang, w) WHERE w2 IS NOT NULL
+                UNION ALL SELECT lang, [w, w2, w3] FROM run SEMI JOIN often USING (lang, w) WHERE w3 IS NOT NULL
+                UNION ALL SELECT lang, [w, w2, w3, w4] FROM run SEMI JOIN often USING (lang, w) WHERE w4 IS NOT NULL
+                UNION ALL SELECT lang, [w, w2, w3, w4, w5] FROM run SEMI JOIN often USING (lang, w) WHERE w5 IS NOT NULL)
+            GROUP BY ALL HAVING count(*) >= 100
+        ), closed AS (
+            SELECT lang, ws, a FROM phrase
+            ANTI JOIN (
+                SELECT DISTINCT lang, ws[i:i + k - 1] AS ws, a FROM phrase, range(2, 5) s(k), range(1, 5) t(i)
+                WHERE k < len(ws) AND i + k - 1 <= len(ws)) inner_part USING (lang, ws, a)
+            WHERE len(ws) > 1
+        ), cut AS (
+            SELECT c.lang, c.ws, c.a, b.a AS l, e.a AS r, n, k,
+                   CAST((CAST(1000 AS HUGEINT) * c.a * n) // (CAST(b.a AS HUGEINT) * e.a) AS BIGINT) AS score
+            FROM closed c JOIN total USING (lang), range(1, 5) t(k), phrase b, phrase e
+            WHERE k < len(c.ws) AND b.lang = c.lang AND b.ws = c.ws[1:k] AND e.lang = c.lang AND e.ws = c.ws[k + 1:]
+        ), lowest AS (
+            SELECT lang, array_to_string(ws, ' ') AS phrase, a, n, unnest(min({'score': score, 'k': k, 'l': l, 'r': r})) FROM cut GROUP BY lang, ws, a, n
+        ), ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM lowest
+        )
+        SELECT lang, rank, phrase, a, l, r, n, score FROM ranked WHERE rank <= 2000""",
     "op7_voronoi_top_k": """
         WITH v AS (
             SELECT vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) for x in embedding] AS e
