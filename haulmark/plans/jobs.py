@@ -12,9 +12,16 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from haulmark.plans import maintenance, refresh, survival, telemetry
 from haulmark.plans.incremental import HISTORY_START, incremental_delta, today_in
-from haulmark.sources.sinks import register_partitions, write_csv, write_partitioned, write_report
+from haulmark.sources.runs import append_run, last_run
+from haulmark.sources.sinks import (
+    add_partitions,
+    register_partitions,
+    write_csv,
+    write_partitioned,
+    write_report,
+)
 from haulmark.sources.tables import catalog_table
-from haulmark.sources.tracker import last_ingested, write_with_audit
+from haulmark.sources.tracker import last_ingested
 
 # Event time of each delta table. Tables watermarked on server time also
 # leave out partitions dated after today when they look for the watermark.
@@ -37,17 +44,31 @@ FLAT_FILE = "flat_file"
 def run_delta(
     spark: SparkSession, staging_db: str, target_db: str, table: str, path: str
 ) -> None:
-    """Append the new rows of one delta table and register its partitions."""
+    """Append the new rows of one delta table and register the partitions written.
+
+    Runs of one table from the same watermark leave their rows once.
+    """
     event_time = DELTA_EVENT_TIME[table]
     guard = today_in() if event_time == "servertimestamp" else None
-    fresh = incremental_delta(
-        catalog_table(spark, staging_db, table),
-        catalog_table(spark, target_db, table),
-        event_time=event_time,
-        today=guard,
-    )
-    write_partitioned(fresh, path, "sourcesystemdate", "append")
-    register_partitions(spark, target_db, table)
+
+    def fresh() -> DataFrame:
+        return incremental_delta(
+            catalog_table(spark, staging_db, table),
+            _whole(spark, target_db, table, path),
+            event_time=event_time,
+            today=guard,
+        )
+
+    run = append_run(spark, path, fresh, "sourcesystemdate")
+    add_partitions(spark, target_db, table, run.partition, run.values)
+
+
+def _whole(spark: SparkSession, database: str, table: str, path: str) -> DataFrame:
+    """The target with what the last run of its ledger wrote, which may not have come to registering it."""
+    run = last_run(spark, path)
+    if run is not None:
+        add_partitions(spark, database, table, run.partition, run.values)
+    return catalog_table(spark, database, table)
 
 
 def run_refresh(
@@ -83,14 +104,17 @@ def run_flat_file(
     table: str = FLAT_FILE,
 ) -> None:
     """Append the flat-file rows newer than the flat file itself, with tire readings."""
-    positions, latch_types, vehicle_types, lookbacks = _flat_file_inputs(
-        spark, database, "positionenh", tires=True
-    )
-    target = catalog_table(spark, database, table)
-    positions, lookbacks = telemetry.newer_than_target(positions, lookbacks, target, default)
-    rows = telemetry.flat_file(positions, latch_types, vehicle_types, lookbacks)
-    write_partitioned(rows, path, "sourcesystemdate", "append")
-    register_partitions(spark, database, table)
+
+    def fresh() -> DataFrame:
+        positions, latch_types, vehicle_types, lookbacks = _flat_file_inputs(
+            spark, database, "positionenh", tires=True
+        )
+        target = _whole(spark, database, table, path)
+        positions, lookbacks = telemetry.newer_than_target(positions, lookbacks, target, default)
+        return telemetry.flat_file(positions, latch_types, vehicle_types, lookbacks)
+
+    run = append_run(spark, path, fresh, "sourcesystemdate")
+    add_partitions(spark, database, table, run.partition, run.values)
 
 
 def run_tracked_flat_file(
@@ -102,17 +126,22 @@ def run_tracked_flat_file(
     today: date | None = None,
     source: str = FLAT_FILE,
 ) -> DataFrame:
-    """Append the flat-file rows newer than the tracker, and add the run to the tracker."""
-    positions, latch_types, vehicle_types, lookbacks = _flat_file_inputs(
-        spark, database, "positionenh", tires=False
-    )
-    start = F.lit(default).cast(positions.schema["rovertimestamp"].dataType)
-    watermark = last_ingested(spark.read.parquet(tracker_path), source, start)
-    positions, lookbacks = telemetry.newer_than(positions, lookbacks, watermark)
-    rows = telemetry.flat_file(positions, latch_types, vehicle_types, lookbacks)
-    return write_with_audit(
-        rows, path, "sourcesystemdate", tracker_path, source, today=today
+    """Append the flat-file rows newer than the tracker, and add the run to the tracker, as one unit."""
+
+    def fresh() -> DataFrame:
+        positions, latch_types, vehicle_types, lookbacks = _flat_file_inputs(
+            spark, database, "positionenh", tires=False
+        )
+        start = F.lit(default).cast(positions.schema["rovertimestamp"].dataType)
+        watermark = last_ingested(spark.read.parquet(tracker_path), source, start)
+        positions, lookbacks = telemetry.newer_than(positions, lookbacks, watermark)
+        return telemetry.flat_file(positions, latch_types, vehicle_types, lookbacks)
+
+    run = append_run(
+        spark, path, fresh, "sourcesystemdate",
+        time="rovertimestamp", tracker=tracker_path, source=source, today=today,
     )
+    return run.tracker_row(spark)
 
 
 def rebuild_flat_file(

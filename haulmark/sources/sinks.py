@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 
 from haulmark.sources.tables import table_name
@@ -32,6 +34,31 @@ def write_csv(df: DataFrame, path: str, separator: str = ",") -> None:
     df.write.mode("overwrite").option("header", True).option("sep", separator).csv(path)
 
 
+#: Folder name of the partition of rows without a value (fixed value).
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
+
+def add_partitions(
+    spark: SparkSession, database: str, table: str, partition: str, values: Sequence[str]
+) -> None:
+    """Make the partitions with these `values` visible in the catalog table, and new files in them.
+
+    The values come from the write itself, so the table's folder is not listed, however many
+    partitions it has.
+    """
+    name = table_name(database, table)
+    specs = [f"PARTITION ({partition} = {_literal(value)})" for value in values]
+    for start in range(0, len(specs), 100):
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {' '.join(specs[start:start + 100])}")
+    spark.catalog.refreshTable(name)
+
+
+def _literal(value: str) -> str:
+    if value == NULL_PARTITION:
+        return "null"
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def register_partitions(
     spark: SparkSession, database: str, table: str, replaced: bool = False
 ) -> None:

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from haulmark.sources.sinks import write_partitioned
+from haulmark.sources.runs import append_run
 
 
 def ingestion_audit(
@@ -38,23 +38,12 @@ def write_with_audit(
     time: str = "rovertimestamp",
     today: date | None = None,
 ) -> DataFrame:
-    """Append `df` by `partition` and add its tracker row, in one run of the plan.
+    """Append `df` by `partition` and add its tracker row, as one unit and in one run of the plan.
 
-    Count and maximum are observed in the writing tasks themselves, after the last shuffle,
-    so a lost executor cannot count a row twice.
+    See `append_run` for what becomes of a run that is lost in between.
     """
     spark: SparkSession = df.sparkSession
-    seen = Observation(f"audit {source}")
-    rebalanced = df.hint("rebalance", partition).observe(
-        seen, F.count(F.lit(1)).alias("rows"), F.max(time).alias("newest")
+    run = append_run(
+        spark, path, lambda: df, partition, time=time, tracker=tracker_path, source=source, today=today
     )
-    rebalanced.write.mode("append").partitionBy(partition).parquet(path)
-    result = seen.get
-    row = spark.range(1).select(
-        F.lit(source).alias("source_name"),
-        F.lit(result["rows"]).cast("long").alias("ingested_row_count"),
-        F.lit(result["newest"]).cast(df.schema[time].dataType).alias("rovertimestamp"),
-        (F.current_date() if today is None else F.lit(today)).alias("ingestiontimestamp"),
-    )
-    row.write.mode("append").parquet(tracker_path)
-    return row
+    return run.tracker_row(spark)
