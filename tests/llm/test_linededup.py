@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 import re
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -43,17 +44,16 @@ def _cut(rows, order, gram, window):
     for g, key, k in marks:
         first.setdefault(g, (key, k))
     gone = {key: set() for key in rows}
-    reach = gram + window - 1
     for g, key, k in marks:
         if first[g] == (key, k):
             continue
-        (la, sa), (lb, sb) = laid[key], laid[first[g][0]]
+        (la, _), (lb, _) = laid[key], laid[first[g][0]]
         i, j = k, first[g][1]
         a, b = i, j
-        while a < len(la) and b < len(lb) and la[a][1] == lb[b][1] and sa[a] <= sa[i] + reach and sb[b] <= sb[j] + reach:
+        while a < len(la) and b < len(lb) and la[a][1] == lb[b][1]:
             a, b = a + 1, b + 1
         c, d = i - 1, j - 1
-        while c >= 0 and d >= 0 and la[c][1] == lb[d][1] and sa[c] >= sa[i] - reach and sb[d] >= sb[j] - reach:
+        while c >= 0 and d >= 0 and la[c][1] == lb[d][1]:
             c, d = c - 1, d - 1
         gone[key] |= set(range(la[c + 1][0], la[a - 1][0] + 1))
     return {key: "\n".join(x for n, x in enumerate(text.split("\n")) if n not in gone[key]) for key, text in rows.items()}
@@ -138,6 +138,31 @@ def test_whole_runs_go_however_long_their_lines_are(spark, gram, window):
     assert got == own
 
 
+@pytest.mark.parametrize("strip", [4])
+def test_matches_are_followed_over_strips(spark, monkeypatch, strip):
+    """Runs whose grams occur first elsewhere, so that only following the match to its end finds all of it."""
+    monkeypatch.setattr(linededup, "STRIP", strip)
+    rng = random.Random(strip)
+    pool = [f"{w} {k}" for k, w in enumerate("abcdefghijkl")]
+    rows = {k: "\n".join(rng.choices([*pool, ""], k=rng.randint(1, 5))) for k in range(25)}
+    for k in range(25, 45):
+        rows[k] = "\n".join(x for _ in range(8) for x in [*rng.choice(list(rows.values())).split("\n"), "" if rng.random() < 0.2 else rng.choice(pool)])
+    rows[50] = rows[44] + "\nend"
+    _check(spark, rows, 2, 1)
+
+
+HELPERS = sorted(set(re.findall(r'"(\w+)"', Path(linededup.__file__).read_text())) - {"doc_id", "text", "n_lines", "n_removed"})
+
+
+def test_columns_named_as_the_helpers_stay(spark):
+    text = " ".join(f"w{k}" for k in range(60))
+    names = [n for n in HELPERS if n.isidentifier()]
+    docs = spark.createDataFrame([(k, text, *range(len(names))) for k in (1, 2)], ["doc_id", "text", *names])
+    got = {r["doc_id"]: r for r in linededup.remove_repeated_runs(docs).collect()}
+    assert got[1]["text"] == text and got[2]["text"] == ""
+    assert [got[2][n] for n in names] == list(range(len(names)))
+
+
 def test_copies_keep_one_and_short_lines_stay(spark):
     text = "\n".join(f"line {k} has some words in it" for k in range(10))
     rows = {1: text, 2: text, 3: "Yes.\n" + text + "\nNo.", 4: "Yes.\nNo.", 5: "Yes.\nNo."}
