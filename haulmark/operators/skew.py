@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 SPLITS, HASH, PART, SIDE = "_splits", "_hash", "_part", "_side"
 
@@ -19,8 +19,12 @@ SPLITS, HASH, PART, SIDE = "_splits", "_hash", "_part", "_side"
 SHARE = 1e-5
 MIN_ROWS = 1_000_000
 
-# Rows up to which a lookup table is broadcast once they are counted.
+# Rows and bytes up to which a lookup table is broadcast once they are measured.
 MOST_BROADCAST = 100_000
+MOST_BYTES = 32_000_000
+
+# Bytes of a row at least, in Spark's estimate of a table from its files.
+LEAST_ROW = 8
 
 # Parts of a key in `dealt_join`.
 PARTS = 16
@@ -104,12 +108,17 @@ def split_join(
     heavy: dict[int, int],
     how: str = "inner",
 ) -> DataFrame:
-    """Inner or left join on `key`, the heavy keys of `facts` dealt out over several tasks.
+    """Inner, left or right join on `key`, the heavy keys of `facts` dealt out over several tasks.
 
     `heavy` comes from `heavy_keys`. Rows of `facts` with a heavy key get one of its parts,
     matching rows of `other` are copied to each, and rows without a key are dealt out too.
+
+    In a right join a row of `other` may meet nothing in one part and something in another. A heavy key has
+    facts, having been counted, so copies of it that meet nothing are no unmatched rows and go.
     """
     keys = [key] if isinstance(key, str) else list(key)
+    if how == "right":
+        facts = facts.where(reduce(Column.__and__, [F.col(name).isNotNull() for name in keys]))
     if not heavy:
         return facts.join(other, keys, how)
     parts = facts.sparkSession.createDataFrame(
@@ -124,9 +133,12 @@ def split_join(
         *facts.columns, F.pmod(row_hash(facts), splits).cast("int").alias(PART)
     )
     copied = with_parts(other).select(
-        *other.columns, F.explode(F.sequence(F.lit(0), splits - 1)).alias(PART)
+        *other.columns, splits.alias(SPLITS), F.explode(F.sequence(F.lit(0), splits - 1)).alias(PART)
     )
-    return dealt.join(copied, [*keys, PART], how).drop(PART)
+    if how != "right":
+        return dealt.join(copied.drop(SPLITS), [*keys, PART], how).drop(PART)
+    joined = dealt.withColumn(SIDE, F.lit(True)).join(copied, [*keys, PART], how)
+    return joined.where(F.col(SIDE).isNotNull() | (F.col(SPLITS) == 1)).drop(PART, SIDE, SPLITS)
 
 
 def dealt_join(
@@ -143,6 +155,58 @@ def dealt_join(
     return dealt.join(copied, [key, PART], how).drop(PART)
 
 
+def may_hold_heavy(table: DataFrame, min_rows: int = MIN_ROWS) -> bool:
+    """Whether the table may hold a heavy group at all, by Spark's estimate of its size from the files.
+
+    It spares small tables the counting job. Nothing but speed rests on the estimate: a group it
+    overlooks is joined as one, or split by adaptive execution.
+    """
+    size = table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(str(size)) >= min_rows * LEAST_ROW
+
+
+def heavy_among(df: DataFrame, key: str, base: DataFrame) -> dict[int, int]:
+    """`heavy_keys` of `df`, which holds rows of `base`; not counted where `base` is small."""
+    return heavy_keys([(df, key)])[0] if may_hold_heavy(base) else {}
+
+
+def row_bytes(df: DataFrame) -> Column:
+    """Bytes of a row's values, nested ones as their JSON; a fixed amount for each column besides."""
+
+    def width(field: T.StructField) -> Column:
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            size = F.octet_length(df[field.name])
+        elif isinstance(field.dataType, (T.StructType, T.ArrayType, T.MapType)):
+            size = F.octet_length(F.to_json(F.struct(df[field.name])))
+        else:
+            size = F.lit(0)
+        return F.coalesce(size, F.lit(0)).cast("bigint") + 16
+
+    return reduce(Column.__add__, [width(field) for field in df.schema], F.lit(0).cast("bigint"))
+
+
+def small_table(df: DataFrame, most: int = MOST_BROADCAST, most_bytes: int = MOST_BYTES) -> DataFrame | None:
+    """`df` as a table of the rows read, or None if it has more than `most` rows or `most_bytes` bytes.
+
+    At most `most` rows and one are read, in one task, and of these no more than `most_bytes` bytes come
+    to the driver, so neither many rows nor wide ones can fill it. The plan of `df` is run
+    once; a join then uses the rows that were read.
+    """
+    order = Window.orderBy("_place")
+    read = df.limit(most + 1).select(*df.columns, row_bytes(df).alias("_bytes"), F.monotonically_increasing_id().alias("_place"))
+    measured = read.select(
+        *df.columns,
+        F.sum("_bytes").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("_so_far"),
+        F.count(F.lit(1)).over(Window.partitionBy()).alias("_rows"),
+    )
+    table = measured.where((F.col("_so_far") <= most_bytes) & (F.col("_rows") <= most)).drop("_so_far").toArrow()
+    if not table.num_rows:
+        return df.limit(0) if df.isEmpty() else None
+    if table["_rows"][0].as_py() != table.num_rows:
+        return None
+    return df.sparkSession.createDataFrame(table.drop_columns(["_rows"]), schema=df.schema)
+
+
 def lookup_join(
     facts: DataFrame,
     other: DataFrame,
@@ -151,17 +215,19 @@ def lookup_join(
     most: int = MOST_BROADCAST,
     share: float = SHARE,
     min_rows: int = MIN_ROWS,
+    most_bytes: int = MOST_BYTES,
 ) -> DataFrame:
     """Inner or left join of facts with a lookup table, whose few keys would gather them in few tasks.
 
-    The table's rows are counted, at most `most` and one: up to `most` it is broadcast and
-    `facts` are not shuffled at all. A larger one is joined by `split_join`.
+    The table is read by `small_table`: up to `most` rows and `most_bytes` bytes it is broadcast and
+    `facts` are neither shuffled nor counted. A larger one is joined by `split_join`.
     """
-    if other.limit(most + 1).count() <= most:
+    table = small_table(other, most, most_bytes)
+    if table is not None:
         measured = f"_measured_{key}"
-        table = F.broadcast(other.withColumnRenamed(key, measured))
+        table = F.broadcast(table.withColumnRenamed(key, measured))
         return facts.join(table, F.col(key) == F.col(measured), how).drop(measured)
-    [heavy] = heavy_keys([(facts, key)], share, min_rows)
+    [heavy] = heavy_keys([(facts, key)], share, min_rows) if may_hold_heavy(facts, min_rows) else [{}]
     return split_join(facts, other, key, heavy, how)
 
 

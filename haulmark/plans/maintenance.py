@@ -7,11 +7,9 @@ report joins its large table once. Sums and counts are taken per task before any
 
 from __future__ import annotations
 
-from bisect import bisect_left
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F
 
 from haulmark.functions.text import (
     EXCLUDED_NAME_PARTS,
@@ -26,7 +24,7 @@ from haulmark.functions.text import (
 from haulmark.functions.timeops import days_between, safe_rate
 from haulmark.operators.attributes import ASSET_ATTRIBUTES, attribute_columns
 from haulmark.operators.latest import argmax_with_ties
-from haulmark.operators.skew import dealt_join, heavy_keys, lookup_join, repeated, split_join
+from haulmark.operators.skew import dealt_join, heavy_among, lookup_join, repeated, split_join
 
 ASSET = "operationalassetid"
 
@@ -42,9 +40,12 @@ COUNTED_WORK_TYPES = ("FAIL", "FAILold", "SCH", "SCHold", "TIRES")
 # Fixed value: estimates and margins from this many days on are left out by the cleanup.
 LONGEST_INTERVAL = 800
 
-# A margin of more days, over 2,700 years, is taken as this many, which no calendar here exceeds.
+# A margin of more days, over 2,700 years, has no end, which the calendar could not write.
 LATEST_MARGIN = 1e6
 
+# Days that stand for the end of a margin that is missing, or too far off.
+NEVER_MET, NO_END = -(2**31), 2**31 - 1
+
 
 def with_sort_key(asset: DataFrame, codes: DataFrame) -> DataFrame:
     """Assets with the name, value and description of their sort key."""
@@ -149,7 +150,7 @@ def pm_margin(
     usage = asset_usage(readings, assets, value, by=(), when="updatetime", whole_numbers=True)
     frequency = argmax_with_ties(task, ASSET, "tasksynclevel").select(ASSET, "frequency")
     days = F.col("daterange")
-    [heavy] = heavy_keys([(task, ASSET)])
+    heavy = heavy_among(task, ASSET, task)
     margins = (
         split_join(frequency, usage, ASSET, heavy)
         .withColumnRenamed("usage", "value")
@@ -220,7 +221,7 @@ def maintenance_timeline(
     assets = assets.withColumn("no_failures", F.coalesce(F.col("_no_failures"), F.lit(0)))
     if margins is not None:
         orders = orders.where(F.col("type") != UNLABELLED)
-    [heavy_asset] = heavy_keys([(orders, ASSET)])
+    heavy_asset = heavy_among(orders, ASSET, workorder)
 
     columns = [
         ASSET, "operationalassetname", "operationalviewname", "sortkeyname", "all", "type",
@@ -283,33 +284,53 @@ def pm_schedule(margins: DataFrame) -> DataFrame:
     return margins.where(F.col("estimated") >= 1).withColumn("due", F.explode(due))
 
 
-def _served_counts() -> Callable[..., Column]:
-    """Function of per-asset lists: how many of each due date take an unused completion in time.
+def _matched_windows(events: Column) -> Column:
+    """Windows (until, due, scheduled, left) of one asset after its completions are dealt out.
 
-    Built inside a function, so that tasks need nothing of this package.
+    `events` are its due dates (kind 0, with `until`) and completions (kind 1) in order of day and kind. A
+    completion goes to the open windows in order of their ends. This serves the same windows as taking
+    these in order and giving each the earliest completion left. Only open windows are looked through, so
+    an asset costs its events times the windows open at a time.
     """
+    none = F.array().cast("array<struct<until:int,due:int,scheduled:bigint,left:bigint>>")
+
+    def window(until: Column, due: Column, scheduled: Column, left: Column) -> Column:
+        return F.struct(
+            until.alias("until"), due.alias("due"), scheduled.alias("scheduled"), left.alias("left")
+        )
 
-    def served(due: list, until: list, scheduled: list, dates: list, free: list) -> list[int]:
-        met = [0] * len(due)
-        for i in sorted(range(len(due)), key=lambda i: (until[i], due[i])):
-            at = bisect_left(dates, due[i])
-            while met[i] < scheduled[i] and at < len(dates) and dates[at] <= until[i]:
-                taken = min(free[at], scheduled[i] - met[i])
-                free[at] -= taken
-                met[i] += taken
-                at += 1
-        return met
-
-    @F.pandas_udf(T.ArrayType(T.LongType()))
-    def counts(
-        due: pd.Series, until: pd.Series, scheduled: pd.Series, dates: pd.Series, free: pd.Series
-    ) -> pd.Series:
-        assets = zip(due, until, scheduled, dates, free)
-        return pd.Series(
-            [served(*[[] if days is None else list(days) for days in asset]) for asset in assets]
+    def step(state: Column, event: Column) -> Column:
+        live = F.filter(state["open"], lambda w: w["until"] >= event["day"])
+        gone = F.filter(state["open"], lambda w: w["until"] < event["day"])
+        arrived = window(event["until"], event["day"], event["amount"], event["amount"])
+
+        def deal(dealt: Column, w: Column) -> Column:
+            taken = F.least(dealt["rest"], w["left"])
+            after = F.array(window(w["until"], w["due"], w["scheduled"], w["left"] - taken))
+            served = taken == w["left"]
+            return F.struct(
+                (dealt["rest"] - taken).alias("rest"),
+                F.when(served, dealt["open"]).otherwise(F.concat(dealt["open"], after)).alias("open"),
+                F.when(served, F.concat(dealt["closed"], after)).otherwise(dealt["closed"]).alias("closed"),
+            )
+
+        dealt = F.aggregate(
+            live,
+            F.struct(
+                event["amount"].alias("rest"), none.alias("open"),
+                F.concat(state["closed"], gone).alias("closed"),
+            ),
+            deal,
+            lambda dealt: F.struct(dealt["open"].alias("open"), dealt["closed"].alias("closed")),
         )
+        added = F.struct(
+            F.sort_array(F.concat(live, F.array(arrived))).alias("open"),
+            F.concat(state["closed"], gone).alias("closed"),
+        )
+        return F.when(event["kind"] == 0, added).otherwise(dealt)
 
-    return counts
+    start = F.struct(none.alias("open"), none.alias("closed"))
+    return F.aggregate(events, start, step, lambda state: F.concat(state["open"], state["closed"]))
 
 
 def pm_compliance(
@@ -317,45 +338,44 @@ def pm_compliance(
 ) -> DataFrame:
     """Scheduled dates with `done`: whether a completion of their own falls within the margin.
 
-    Dates are served in order, each by the earliest completion not yet used. Copies of one
-    due date and completions of one day are counted beforehand, so the lists matched for one
-    asset are bounded by the days of its calendar, however many rows it has.
-    """
-
-    def by_asset(rows: DataFrame, *columns: str) -> DataFrame:
-        """Per asset one list per column, all in the order of the first."""
-        days = F.sort_array(F.collect_list(F.struct(*columns))).alias("_days")
-        lists = [F.col(f"_days.{name}").alias(name) for name in columns]
-        return rows.groupBy(ASSET).agg(days).select(ASSET, *lists)
+    Dates are served in order of the ends of their margins, each by the earliest completion not yet
+    used. Copies of one due date and completions of one day are counted beforehand, so the list
+    matched for one asset is bounded by the days of its calendar, however many rows it has.
 
-    until = F.date_add("due", F.least(F.col("pm_margin_days"), F.lit(LATEST_MARGIN)).cast("int"))
-    wanted = (
-        schedule.groupBy(
-            ASSET, F.unix_date("due").alias("due"), F.unix_date(until).alias("until")
-        )
-        .agg(F.count(F.lit(1)).alias("scheduled"))
+    Without a margin a date is never met. A margin beyond `LATEST_MARGIN` days has no end. Both
+    have no `until`.
+    """
+    days = F.col("pm_margin_days")
+    until = (
+        F.when(days.isNull(), NEVER_MET)
+        .when(days > LATEST_MARGIN, NO_END)
+        .otherwise(F.unix_date(F.date_add("due", days.try_cast("int"))))
+    )
+    wanted = schedule.groupBy(ASSET, F.unix_date("due").alias("day"), until.alias("until")).agg(
+        F.count(F.lit(1)).alias("amount")
     )
     done = (
         completions.where(F.col(finished).isNotNull())
-        .groupBy(ASSET, F.unix_date(F.col(finished).cast("date")).alias("date"))
-        .agg(F.count(F.lit(1)).alias("free"))
-    )
-    matched = by_asset(wanted, "due", "until", "scheduled").join(
-        by_asset(done, "date", "free"), ASSET, "left"
-    )
-    met = _served_counts()("due", "until", "scheduled", "date", "free")
-    rows = matched.withColumn("met", met).select(
-        ASSET, F.inline(F.arrays_zip("due", "until", "scheduled", "met"))
+        .groupBy(ASSET, F.unix_date(F.col(finished).cast("date")).alias("day"))
+        .agg(F.count(F.lit(1)).alias("amount"))
+    )
+    event = ("day", "kind", "until", "amount")
+    events = wanted.withColumn("kind", F.lit(0)).select(ASSET, F.struct(*event).alias("_event"))
+    others = done.withColumns({"kind": F.lit(1), "until": F.lit(0)})
+    events = events.unionByName(others.select(ASSET, F.struct(*event).alias("_event")))
+    matched = (
+        events.groupBy(ASSET)
+        .agg(F.sort_array(F.collect_list("_event")).alias("_events"))
+        .where(F.exists("_events", lambda e: e["kind"] == 0) & F.col(ASSET).isNotNull())
+        .select(ASSET, F.inline(_matched_windows(F.col("_events"))))
     )
     outcomes = F.array(
-        F.struct(F.lit(True).alias("done"), F.col("met").alias("copies")),
-        F.struct(F.lit(False).alias("done"), (F.col("scheduled") - F.col("met")).alias("copies")),
+        F.struct(F.lit(True).alias("done"), (F.col("scheduled") - F.col("left")).alias("copies")),
+        F.struct(F.lit(False).alias("done"), F.col("left").alias("copies")),
     )
-    counted = rows.select(
-        ASSET,
-        F.date_from_unix_date("due").alias("due"),
-        F.date_from_unix_date("until").alias("until"),
-        F.inline(outcomes),
+    ends = F.when(~F.col("until").isin(NEVER_MET, NO_END), F.date_from_unix_date("until"))
+    counted = matched.select(
+        ASSET, F.date_from_unix_date("due").alias("due"), ends.alias("until"), F.inline(outcomes)
     )
     return repeated(counted, "copies").select(ASSET, "due", "until", "done")
 
@@ -412,7 +432,7 @@ def failures_by_make_model(
     by_model = counts("makenmod", "countofassetmodels", "countofmodels")
     described = dealt_join(assets, by_make, "make", "left")
     described = dealt_join(described, by_model, "makenmod", "left")
-    [heavy_asset] = heavy_keys([(orders, ASSET)])
+    heavy_asset = heavy_among(orders, ASSET, workorder)
     return split_join(orders, described, ASSET, heavy_asset).select(
         ASSET, "operationalassetname", "make", "model", "year", "causeoffaultdescription",
         "makenmod", "worktypename", "countofassetmakes", "countofmakesinworkorders",
@@ -485,8 +505,7 @@ def fault_causes(
 ) -> DataFrame:
     """Failures with a cause, for every qualifying asset; an asset without any gets one row.
 
-    A right outer join, taken as an inner join and the assets it leaves out, since an outer
-    join cannot split an asset with very many failures.
+    The failures are evaluated once, also where an asset has very many of them.
 
     `failure_name` is the column the name exclusion applies to on the failure side.
     """
@@ -507,14 +526,21 @@ def fault_causes(
         .select(ASSET, cause_key, "worktypecategory")
     )
     failures = lookup_join(orders, causes, cause_key)
-    [heavy_asset] = heavy_keys([(failures, ASSET)])
-    located = viewed.select(ASSET, "operationalviewname").join(assets, ASSET)
-    found = split_join(failures, located, ASSET, heavy_asset)
-    spared = assets.join(
-        failures.select(ASSET).distinct().join(viewed.select(ASSET), ASSET), ASSET, "left_anti"
-    )
-    return found.unionByName(spared, allowMissingColumns=True).select(
-        ASSET, "name", "causeoffaultdescription", "operationalviewname", "worktypecategory",
+    heavy_asset = heavy_among(failures, ASSET, workorder)
+    # An asset's row brings its views along; one without a view meets no failure.
+    views = viewed.groupBy(F.col(ASSET).alias("_asset")).agg(
+        F.collect_list(F.struct("operationalviewname")).alias("_views")
+    )
+    located = assets.join(views, assets[ASSET] == F.col("_asset"), "left").withColumnRenamed(
+        ASSET, "_reported"
+    )
+    failed = failures.withColumnsRenamed({ASSET: "_asset"}).withColumn("_failed", F.lit(True))
+    found = split_join(failed, located, "_asset", heavy_asset, "right")
+    return found.withColumn(
+        "_view", F.explode_outer(F.when(F.col("_failed"), F.col("_views")))
+    ).select(
+        F.col("_reported").alias(ASSET), "name", "causeoffaultdescription",
+        F.col("_view.operationalviewname").alias("operationalviewname"), "worktypecategory",
         "year", "sortkeyname",
     )
 

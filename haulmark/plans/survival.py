@@ -19,7 +19,7 @@ from haulmark.functions.text import (
     normalize_make,
 )
 from haulmark.operators.attributes import ASSET_ATTRIBUTES, attribute_columns
-from haulmark.operators.skew import heavy_hashes, split_join
+from haulmark.operators.skew import heavy_hashes, may_hold_heavy, split_join
 from haulmark.plans.maintenance import (
     ASSET,
     FAILURE,
@@ -102,7 +102,9 @@ def survival_dataset(
     dated = history.where(F.col("first_order").isNotNull()).join(
         asset.select(ASSET, "operationalassetname", "installdate"), ASSET
     )
-    [crowded] = heavy_hashes([failures.select(F.xxhash64(ASSET, "day"))])
+    crowded = {}
+    if may_hold_heavy(workorder):
+        [crowded] = heavy_hashes([failures.select(F.xxhash64(ASSET, "day"))])
     events = split_join(failures, dated, [ASSET, "day"], crowded).withColumns(
         {"fail": F.lit(1), "earlier": earlier}
     )

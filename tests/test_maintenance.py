@@ -257,6 +257,37 @@ def test_compliance_equals_row_by_row_matching(spark, seed):
     assert rows(found) == expected
 
 
+@pytest.mark.parametrize("seed", range(6))
+def test_compliance_of_windows_of_any_length(spark, seed):
+    """Margins that differ within an asset, missing and endless ones; against serving window by window."""
+    pick = random.Random(seed)
+    start = D(2019, 1, 1)
+    margins = [None, 5e9, *map(float, range(9))]
+    schedule, completions = [], []
+    for asset in range(30):
+        day = lambda: start + timedelta(days=pick.randrange(15 + asset))
+        schedule += [(asset, day(), pick.choice(margins)) for _ in range(pick.randrange(14))]
+        completions += [(asset, day()) for _ in range(pick.randrange(10))]
+    expected = Counter()
+    for asset in range(30):
+        free = sorted(day for a, day in completions if a == asset)
+        windows = []
+        for _, due, margin in (row for row in schedule if row[0] == asset):
+            last = D(1, 1, 1) if margin is None else date.max if margin > 1e6 else due + timedelta(days=margin)
+            windows.append((last, due, margin))
+        for last, due, margin in sorted(windows, key=lambda w: w[:2]):
+            hit = next((day for day in free if due <= day <= last), None)
+            if hit is not None:
+                free.remove(hit)
+            expected[(asset, due, last if margin is not None and margin < 1e6 else None, hit is not None)] += 1
+    found = maintenance.pm_compliance(
+        spark.createDataFrame(schedule, "operationalassetid int, due date, pm_margin_days double"),
+        spark.createDataFrame(completions, "operationalassetid int, finishdate date"),
+    )
+    assert rows(found) == expected
+    assert "Python" not in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_an_odd_interval_or_many_copies_stop_no_report(spark):
     start, end = date(2020, 1, 1), date(2020, 3, 1)
     rows = [(1, start, end, 5e9, 7e12), (2, start, end, 30.0, 5.0)]
