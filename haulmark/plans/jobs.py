@@ -20,7 +20,7 @@ from haulmark.sources.sinks import (
     write_partitioned,
     write_report,
 )
-from haulmark.sources.tables import catalog_table
+from haulmark.sources.tables import catalog_table, partition_dates
 from haulmark.sources.tracker import last_ingested
 
 # Event time of each delta table. Tables watermarked on server time also
@@ -41,6 +41,12 @@ FLAT_FILE_START = date(2018, 8, 1)
 FLAT_FILE = "flat_file"
 
 
+# Columns of the typed work orders that the reports use.
+ORDER_COLUMNS = (
+    "workorderid", maintenance.ASSET, "worktypename", "worktypecategory", "raisedate", "finishdate"
+)
+
+
 def run_delta(
     spark: SparkSession, staging_db: str, target_db: str, table: str, path: str
 ) -> None:
@@ -52,11 +58,13 @@ def run_delta(
     guard = today_in() if event_time == "servertimestamp" else None
 
     def fresh() -> DataFrame:
+        target = _whole(spark, target_db, table, path)
         return incremental_delta(
             catalog_table(spark, staging_db, table),
-            _whole(spark, target_db, table, path),
+            target,
             event_time=event_time,
             today=guard,
+            listed=partition_dates(spark, target_db, table),
         )
 
     run = append_run(spark, path, fresh, "sourcesystemdate")
@@ -162,14 +170,20 @@ def _survival_by_make_site(spark: SparkSession, database: str, intervals: DataFr
     return survival.survival_by_make_site(intervals, *tables)
 
 
-def maintenance_reports(spark: SparkSession, database: str) -> dict[str, DataFrame]:
-    """Every maintenance report over the tables of `database`, by name."""
+def maintenance_reports(
+    spark: SparkSession, database: str, orders: DataFrame | None = None
+) -> dict[str, DataFrame]:
+    """Every maintenance report over the tables of `database`, by name.
+
+    `orders` are the work orders with their types (`maintenance.typed_orders`), if they are at hand.
+    """
 
     def table(name: str) -> DataFrame:
         return catalog_table(spark, database, name)
 
     asset, codes, view = table("operationalasset"), table("lookuptable"), table("operationalview")
-    worktype, workorder, meter = table("worktype"), table("workorder"), table("meter")
+    worktype, meter = table("worktype"), table("meter")
+    workorder = table("workorder") if orders is None else orders
     attribute = table("tableattribute")
     margins = maintenance.pm_margin(meter, asset, codes, view, table("task"))
     intervals = survival.survival_dataset(asset, worktype, workorder)
@@ -196,9 +210,15 @@ def maintenance_reports(spark: SparkSession, database: str) -> dict[str, DataFra
 def run_reports(spark: SparkSession, database: str, path: str) -> None:
     """Write every maintenance report below `path`; the timeline listing as CSV.
 
-    The report by make and site is made from the survival data as written.
+    The work orders are read once: with their types, and of their columns those the reports need, they are
+    written to `_orders`, which all reports read. The report by make and site is made from the
+    survival data as written.
     """
-    reports = maintenance_reports(spark, database)
+    orders = maintenance.typed_orders(
+        catalog_table(spark, database, "workorder"), catalog_table(spark, database, "worktype"), "worktypeid"
+    )
+    write_report(orders.select(*ORDER_COLUMNS), f"{path}/_orders")
+    reports = maintenance_reports(spark, database, spark.read.parquet(f"{path}/_orders"))
     write_report(reports.pop("survival"), f"{path}/survival")
     reports["survival_by_make_site"] = _survival_by_make_site(
         spark, database, spark.read.parquet(f"{path}/survival")

@@ -77,7 +77,9 @@ def qualifying(
 
 
 def typed_orders(workorder: DataFrame, worktype: DataFrame, type_key: str) -> DataFrame:
-    """Work orders with the name and category of their work type."""
+    """Work orders with the name and category of their work type; as they are, if they have these."""
+    if {"worktypename", "worktypecategory"} <= set(workorder.columns):
+        return workorder
     types = worktype.select(
         F.col("worktypeid").alias(type_key),
         F.col("name").alias("worktypename"),

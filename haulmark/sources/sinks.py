@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from haulmark.sources.tables import table_name
 
@@ -29,9 +29,21 @@ def write_report(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def write_csv(df: DataFrame, path: str, separator: str = ",") -> None:
-    """Replace a CSV report; one file per task, each with a header."""
-    df.write.mode("overwrite").option("header", True).option("sep", separator).csv(path)
+def write_csv(df: DataFrame, path: str, separator: str = ",", one_file: bool = False) -> None:
+    """Replace a CSV report; one file per task, each with a header.
+
+    `one_file` is for small reports: one task writes all rows.
+    """
+    rows = df.repartition(1) if one_file else df
+    rows.write.mode("overwrite").option("header", True).option("sep", separator).csv(path)
+
+
+def write_rejects(rejects: DataFrame, path: str) -> int:
+    """Append rejected rows with the time of the run, and return their number, counted while writing."""
+    seen = Observation("rejects")
+    rows = rejects.withColumn("rejected_at", F.current_timestamp())
+    rows.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("append").parquet(path)
+    return seen.get["rows"]
 
 
 #: Folder name of the partition of rows without a value (fixed value).

@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from collections import Counter
 from datetime import date, datetime, timedelta
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F, types as T
 
 from haulmark import schemas
 from haulmark.plans import jobs, refresh
-from haulmark.sources.sinks import write_csv
-from haulmark.sources.tables import catalog_table, csv_table, parquet_table, table_name
+from haulmark.sources.sinks import write_csv, write_rejects
+from haulmark.sources.tables import catalog_table, checked_csv, csv_table, parquet_table, table_name
 
 AT = datetime(2019, 6, 1, 12)
 DAY = date(2019, 6, 1)
@@ -225,6 +226,11 @@ def test_reports_are_written(spark, catalog, tmp_path):
     out = str(tmp_path / "reports")
     for _ in range(2):
         jobs.run_reports(spark, "yard", out)
+    orders = spark.read.parquet(f"{out}/_orders")
+    for name, report in jobs.maintenance_reports(spark, "yard", orders).items():
+        assert not any("/yard/workorder/" in file for file in report.inputFiles()), name
+        plain = jobs.maintenance_reports(spark, "yard")[name]
+        assert rows(report) == rows(plain), name
     counts = {
         name: spark.read.parquet(f"{out}/{name}").count()
         for name in jobs.maintenance_reports(spark, "yard") if name != "timeline_listing"
@@ -251,6 +257,46 @@ def test_csv_round_trip_with_unparseable_dates(spark, tmp_path):
     )
 
 
+def test_rejected_csv_rows_are_kept_apart(spark, tmp_path):
+    path, rejects = str(tmp_path / "orders.csv"), str(tmp_path / "rejects")
+    lines = ["id,hours,day", "1,2.5,3/5/19", "x,1.0,3/6/19", "2,,bad", "3,many,3/7/19", "4,1.0", "5,1.0,3/8/19,more", ",,"]
+    (tmp_path / "orders.csv").write_text("\n".join(lines) + "\n")
+    schema = T.StructType([
+        T.StructField("id", T.IntegerType()), T.StructField("hours", T.DoubleType()), T.StructField("day", T.DateType()),
+    ])
+    good, bad = checked_csv(spark, path, schema)
+    assert rows(good) == Counter({(1, 2.5, date(2019, 3, 5)): 1, (2, None, None): 1, (None, None, None): 1})
+    assert good.select("day").count() == 3  # whatever is selected
+    for n in (1, 2):
+        assert write_rejects(bad, rejects) == 4
+        found = spark.read.parquet(rejects)
+        assert rows(found.select("rejected_row")) == Counter({(line,): n for line in (lines[2], lines[4], lines[5], lines[6])})
+        assert all(r["file"].endswith("orders.csv") for r in found.collect())
+    assert csv_table(spark, path, schema).count() == 7
+
+
+def test_csv_report_in_one_file(spark, tmp_path):
+    df = spark.range(100).repartition(5)
+    write_csv(df, str(tmp_path / "one"), one_file=True)
+    assert len(list((tmp_path / "one").glob("*.csv"))) == 1
+    assert spark.read.csv(str(tmp_path / "one"), header=True).count() == 100
+
+
+def test_delta_opens_no_file_of_an_older_partition(spark, catalog):
+    kinds = "chid string, rovertimestamp timestamp"
+    stage = [(c, AT + timedelta(days=d), AT, "I") for c, d in (("a", 0), ("b", 1), ("c", 3))]
+    catalog("staging", "fuel", spark.createDataFrame(stage, f"{kinds}, audtdateadded timestamp, dboperationtype string"))
+    known = [("a", AT, AT, DAY), ("b", AT + timedelta(days=1), AT, DAY + timedelta(days=1))]
+    known = spark.createDataFrame(known, f"{kinds}, sourcesystemtimestamp timestamp, sourcesystemdate date")
+    path = catalog("yard", "fuel", known, "sourcesystemdate")
+    spark.sql(f"ALTER TABLE yard.fuel ADD PARTITION (sourcesystemdate = '{DAY + timedelta(days=2)}')")  # empty
+    for file in Path(path, f"sourcesystemdate={DAY}").glob("*.parquet"):
+        file.write_bytes(b"no Parquet")
+    jobs.run_delta(spark, "staging", "yard", "fuel", path)
+    found = spark.table("yard.fuel").where(F.col("sourcesystemdate") > F.lit(DAY))
+    assert rows(found.select("chid")) == Counter({("b",): 1, ("c",): 1})
+
+
 def test_parquet_table_projects_and_renames(spark, tmp_path):
     path = str(tmp_path / "fuel")
     spark.createDataFrame([(1, 2.0)], "a int, level1 double").write.parquet(path)
