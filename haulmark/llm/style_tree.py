@@ -196,28 +196,34 @@ def _feature(value) -> int:
     return xxh64_intdigest(repr(value).encode("utf-8", "surrogatepass")) - 2**63
 
 
-def _log_share(n: Column, pages: Column) -> Column:
-    """Entropy of something that occurs equally on `n` of `pages` pages, from 0 to 1."""
-    return F.when(pages > 1, F.log(n) / F.log(pages)).otherwise(0.0)
-
-
 def _importance(counts: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys, path, pages, importance) of every node with text below it."""
+    """(keys, path, pages, importance) of every node with text below it.
+
+    A text on n of m pages has the entropy log n / log m; a sequence of children on n of all pages the share p = n / all
+    and the entropy of the shares is taken to the base m. Both follow from sums over n and n log n, so a node
+    with very many texts is summed in each task before the shuffle.
+    """
     node = [*keys, "path"]
-    pages = counts.filter("kind = 'page'").select(*node, F.col("n").alias("pages"))
-    rest = counts.filter("kind <> 'page'").join(pages, node)
-    # content: the mean entropy of the texts, each as often as it occurs
-    text = rest.filter("kind = 'text'").groupBy(*node).agg(
-        F.sum("n").alias("_texts"), F.sum(F.col("n") * (1 - _log_share(F.col("n"), F.col("pages")))).alias("_own")
+    found = counts.groupBy(*node).agg(
+        F.max(F.when(F.col("kind") == "page", F.col("n"))).alias("pages"),
+        *[
+            total.alias(f"_{name}_{what}")
+            for name in ("text", "style")
+            for here in [F.col("kind") == name]
+            for what, total in (
+                ("n", F.sum(F.when(here, F.col("n")))),
+                ("nlogn", F.sum(F.when(here, F.col("n") * F.log("n")))),
+                ("kinds", F.count_if(here)),
+            )
+        ],
     )
-    # presentation: the entropy of the sequences of children
-    share = F.col("n") / F.col("_all")
-    styles = rest.filter("kind = 'style'")
-    styles = styles.join(styles.groupBy(*node).agg(F.sum("n").alias("_all")), node)
-    style = styles.groupBy(*node).agg(
-        F.count("*").alias("_kinds"),
-        F.coalesce(F.sum(-share * F.log(share)) / F.nullif(F.log(F.max("pages")), F.lit(0.0)), F.lit(1.0)).alias("_style"),
+    base = F.nullif(F.log("pages"), F.lit(0.0))
+    text = found.filter("_text_n > 0").select(
+        *node, F.col("_text_n").alias("_texts"), (F.col("_text_n") - F.coalesce(F.col("_text_nlogn") / base, F.lit(0.0))).alias("_own")
     )
+    entropy = (F.log("_style_n") - F.col("_style_nlogn") / F.col("_style_n")) / base
+    style = found.filter("_style_n > 0").select(*node, F.col("_style_kinds").alias("_kinds"), F.coalesce(entropy, F.lit(1.0)).alias("_style"))
+    pages = found.select(*node, "pages")
     steps = F.split(F.substring("path", 2, 2**30), "/")
     above = F.transform(F.sequence(F.lit(1), F.size(steps)), lambda k: F.concat(F.lit("/"), F.array_join(F.slice(steps, 1, k), "/")))
     below = text.select(*keys, F.explode(above).alias("path"), "_texts", "_own").groupBy(*node).agg(
