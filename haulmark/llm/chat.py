@@ -12,9 +12,13 @@ loss mask covers the assistant texts that are new in it, so each is trained on o
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from haulmark.llm.common import ranked, written
+
 END = "</turn>"
 MARK = "###"
 
@@ -41,12 +45,16 @@ def token_count(text: Column) -> Column:
     return F.regexp_count(text, F.lit(r"\w+|[^\w\s]")) + 4
 
 
+#: A turn as it is carried along.
+ROW = "struct<turn:bigint,role:string,text:string,tokens:int>"
+
+
 def format_conversations(
     turns: DataFrame,
     budget: int = 512,
     history: int = 128,
     history_turns: int = 4,
-    part_turns: int = 256,
+    part_turns: int = 512,
 ) -> DataFrame:
     """Windows of the conversations in `turns` (conv_id, turn, role, text).
 
@@ -56,35 +64,53 @@ def format_conversations(
     turn with its repeated system turn and history is larger; turns are never cut. History is
     the longest run of the last `history_turns` turns that fits `history` tokens.
 
-    A conversation is worked on in parts of `part_turns` turn numbers, so a very long one is
-    spread over many tasks; a part gets the system turn and the last turns of what went before
-    through a table of part ends. A part's rows meet in one row, at most `part_turns` if turn
-    numbers do not repeat.
+    A conversation is worked on in parts of `part_turns` turns, one after another, so that no row holds more of
+    it. A part hands its open span, the turns before it and the system turn on to the next. So the
+    windows do not depend on the parts; only the part in which a window was closed is told by `part`.
 
     Turns follow their number (null first), then role, then text; repeated rows stay repeated.
-    Null roles and texts are empty; a null conv_id is one conversation. Other columns are
-    ignored; an empty table gives no windows.
+    Null roles and texts are empty; a null conv_id is one conversation. Texts of any length stay whole. Other
+    columns are ignored; an empty table gives no windows.
     """
-    role, text = (F.coalesce(F.col(x).cast("string"), F.lit("")) for x in ("role", "text"))
-    turn = F.struct(
-        F.col("turn").cast("long").alias("turn"), role.alias("role"), text.alias("text"), token_count(text).alias("tokens")
-    )
-    part = F.floor(F.col("turn") / part_turns).alias("part")
-    parts = (
-        turns.select("conv_id", part, turn.alias("row"))
-        .groupBy("conv_id", "part")
-        .agg(F.sort_array(F.collect_list("row")).alias("rows"))
-    )
-    parts = _with_context(parts, history_turns)
-    parts = parts.withColumn("spans", _spans(budget, history))
-    windows = parts.select("*", F.posexplode("spans").alias("window", "span"))
-
-    earlier = F.slice("rows", F.lit(1), F.col("span")["first"] - 1)
-    own_system = F.try_element_at(F.filter(earlier, lambda r: r["role"] == "system"), F.lit(1))
-    system = F.coalesce(F.col("system"), own_system)
-    before = F.concat(F.coalesce("tail", F.array().cast(parts.schema["rows"].dataType)), earlier)
-    past = _fitting_suffix(_last_turns(before, history_turns), history)
-    repeated = F.concat(F.filter(F.array(system), lambda r: r.isNotNull()), past)
+    role, text = (F.coalesce(F.col(x).cast("string"), F.lit("")).alias(x) for x in ("role", "text"))
+    rows = ranked(turns.select("conv_id", F.col("turn").cast("long").alias("turn"), role, text), "conv_id", ["turn", "role", "text"])
+    row = F.struct("turn", "role", "text", token_count(F.col("text")).alias("tokens"))
+    part = F.floor((F.col("rank") - 1) / part_turns).alias("part")
+    of_part = F.sort_array(F.collect_list(F.struct("rank", row.alias("row"))))
+    parts = rows.groupBy("conv_id", part).agg(F.transform(of_part, lambda x: x["row"]).alias("rows"))
+    parts = written(parts, "parts")
+    ends = parts.groupBy(F.col("conv_id").alias("_conv")).agg(F.max("part").alias("_last"))
+    ends = written(ends.filter("_last > 0"), "long")
+    last = ends.agg(F.max("_last")).first()[0] or 0
+    none, no_rows = F.lit(None).cast(ROW), F.array().cast(f"array<{ROW}>")
+    state, found = None, []
+    for number in range(last + 1):
+        now = parts.filter(F.col("part") == number)
+        if last:
+            now = now.join(ends, now["conv_id"].eqNullSafe(F.col("_conv")), "left").drop("_conv")
+        ended = F.col("part") == F.coalesce("_last", F.lit(0)) if last else F.lit(True)
+        now = now.withColumn("ended", ended)
+        if state is None:
+            now = now.withColumns({"fresh": F.lit(True), "tail": no_rows, "system": none})
+        else:
+            carried = state.withColumnsRenamed({"conv_id": "_conv", "rows": "_open"})
+            now = now.join(carried, now["conv_id"].eqNullSafe(F.col("_conv"))).withColumn("rows", F.concat("_open", "rows"))
+        now = now.select("conv_id", "part", "ended", "rows", "fresh", "tail", "system")
+        now = now.withColumn("done", _spans(budget, history, history_turns))
+        if number < last:
+            now = written(now, "spans")
+            span = F.element_at("done.spans", -1)
+            state = now.filter(~F.col("ended")).select(
+                "conv_id", F.slice("rows", span["first"], span["n"]).alias("rows"), (F.col("fresh") & (F.size("done.spans") == 1)).alias("fresh"),
+                span["tail"].alias("tail"), span["system"].alias("system"),
+            )
+            state = written(state, "state")
+        closed = F.slice("done.spans", F.lit(1), F.size("done.spans") - F.when(F.col("ended"), 0).otherwise(1))
+        found.append(now.select("conv_id", "part", "rows", F.posexplode(closed).alias("window", "span")))
+    windows = reduce(DataFrame.unionByName, found)
+
+    past = _fitting_suffix(F.col("span")["tail"], history)
+    repeated = F.concat(F.filter(F.array(F.col("span")["system"]), lambda r: r.isNotNull()), past)
     windows = windows.withColumn("repeated", repeated).withColumn("new", F.slice("rows", F.col("span")["first"], F.col("span")["n"]))
     pieces = F.transform(
         F.concat("repeated", "new"),
@@ -109,67 +135,53 @@ def format_conversations(
     )
 
 
-def _last_turns(rows: Column, n: int) -> Column:
-    """The last `n` rows that are no system turns."""
-    spoken = F.filter(rows, lambda r: r["role"] != "system")
-    return F.slice(spoken, F.greatest(F.size(spoken) - n + 1, F.lit(1)), n)
+def _spans(budget: int, history: int, history_turns: int) -> Column:
+    """Spans (first, n, tail, system) of `rows`: a turn opens a new span when the prefix sum leaves the span's room.
 
+    `tail` are the last turns before a span that are no system turns, `system` the first system turn before
+    it. The room is `budget` less the history and the system turn, in a conversation's first span
+    (`fresh`) all of it. Those of the first span here, and whether it is fresh, come from the columns.
+    """
+    spans = f"array<struct<first:int,n:int,tail:array<{ROW}>,system:{ROW}>>"
+
+    def closed(acc: Column, n: Column) -> Column:
+        span = F.struct(acc["first"].alias("first"), n.alias("n"), acc["span_tail"].alias("tail"), acc["span_system"].alias("system"))
+        return F.concat(acc["spans"], F.array(span))
 
-def _with_context(parts: DataFrame, history_turns: int) -> DataFrame:
-    """Adds `system` and `tail`: the system turn and the last turns of earlier parts, null in the first."""
-    ends = parts.select(
-        "conv_id",
-        "part",
-        _last_turns(F.col("rows"), history_turns).alias("tail"),
-        F.try_element_at(F.filter("rows", lambda r: r["role"] == "system"), F.lit(1)).alias("system"),
-    )
-    order = Window.partitionBy("conv_id").orderBy(F.col("part").asc_nulls_first())
-    earlier = order.rowsBetween(Window.unboundedPreceding, -1)
-    ends = ends.select(
-        F.col("conv_id").alias("_conv"),
-        F.col("part").alias("_part"),
-        F.lag("tail").over(order).alias("tail"),
-        F.first("system", ignorenulls=True).over(earlier).alias("system"),
-    ).filter(F.col("tail").isNotNull())
-    same = parts["conv_id"].eqNullSafe(F.col("_conv")) & parts["part"].eqNullSafe(F.col("_part"))
-    return parts.join(ends, same, "left").drop("_conv", "_part")
-
-
-def _spans(budget: int, history: int) -> Column:
-    """Array of (first, n): a turn opens a new span when the prefix sum leaves the span's room.
-
-    The room is `budget` less the history and the system turn before the span, if there is one
-    (`system`, tokens of the first one so far; `repeated`, those before the span)."""
-    inherited = F.coalesce(F.col("system")["tokens"], F.lit(0))
     start = F.struct(
         F.lit(0).alias("at"),
         F.lit(0).cast("long").alias("prefix"),
         F.lit(0).cast("long").alias("floor"),
-        F.expr("cast(array() as array<struct<first:int,n:int>>)").alias("done"),
+        F.array().cast(spans).alias("spans"),
         F.lit(1).alias("first"),
-        inherited.alias("system"),
-        inherited.alias("repeated"),
+        F.col("tail").alias("span_tail"),
+        F.col("system").alias("span_system"),
+        F.col("tail").alias("tail"),
+        F.col("system").alias("system"),
     )
 
     def step(acc: Column, row: Column) -> Column:
         end = acc["prefix"] + row["tokens"]
-        room = F.greatest(F.lit(budget - history) - acc["repeated"], F.lit(1))
-        room = F.when((F.size(acc["done"]) == 0) & F.col("tail").isNull(), F.lit(budget)).otherwise(room)
+        room = F.greatest(F.lit(budget - history) - F.coalesce(acc["span_system"]["tokens"], F.lit(0)), F.lit(1))
+        room = F.when((F.size(acc["spans"]) == 0) & F.col("fresh"), F.lit(budget)).otherwise(room)
         full = (acc["at"] + 1 > acc["first"]) & (end - acc["floor"] > room)
-        closed = F.struct(acc["first"].alias("first"), (acc["at"] + 1 - acc["first"]).alias("n"))
+        is_system = row["role"] == "system"
+        longer = F.concat(acc["tail"], F.array(row))
+        kept = F.slice(longer, F.greatest(F.size(longer) - history_turns + 1, F.lit(1)), history_turns)
         return F.struct(
             (acc["at"] + 1).alias("at"),
             end.alias("prefix"),
             F.when(full, acc["prefix"]).otherwise(acc["floor"]).alias("floor"),
-            F.when(full, F.concat(acc["done"], F.array(closed))).otherwise(acc["done"]).alias("done"),
+            F.when(full, closed(acc, acc["at"] + 1 - acc["first"])).otherwise(acc["spans"]).alias("spans"),
             F.when(full, acc["at"] + 1).otherwise(acc["first"]).alias("first"),
-            F.when((acc["system"] == 0) & (row["role"] == "system"), row["tokens"]).otherwise(acc["system"]).alias("system"),
-            F.when(full, acc["system"]).otherwise(acc["repeated"]).alias("repeated"),
+            F.when(full, acc["tail"]).otherwise(acc["span_tail"]).alias("span_tail"),
+            F.when(full, acc["system"]).otherwise(acc["span_system"]).alias("span_system"),
+            F.when(is_system, acc["tail"]).otherwise(kept).alias("tail"),
+            F.when(acc["system"].isNull() & is_system, row).otherwise(acc["system"]).alias("system"),
         )
 
     def finish(acc: Column) -> Column:
-        last = F.struct(acc["first"].alias("first"), (acc["at"] - acc["first"] + 1).alias("n"))
-        return F.concat(acc["done"], F.array(last))
+        return F.struct(closed(acc, acc["at"] - acc["first"] + 1).alias("spans"))
 
     return F.aggregate("rows", start, step, finish)
 

@@ -6,7 +6,7 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: A word ends at a blank or a control character from tab to return.
@@ -45,6 +45,23 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def ranked(rows: DataFrame, key: str, order: list[str]) -> DataFrame:
+    """`rows` with `rank`, from 1 within the rows of a `key` (null is one) by `order`; equal rows get ranks of their own.
+
+    Rows are sorted over range partitions and ranked from the partitions' counts, so a key with very many
+    rows is spread over many tasks.
+    """
+    names = [key, *order, "_row"]
+    sorted_rows = rows.withColumn("_row", F.monotonically_increasing_id()).repartitionByRange(*names).sortWithinPartitions(*names)
+    kept = sorted_rows.select(*rows.columns, F.spark_partition_id().alias("_part"), F.monotonically_increasing_id().alias("_place"))
+    kept = written(kept, "sorted")
+    along = Window.partitionBy("_key").orderBy("_of").rowsBetween(Window.unboundedPreceding, -1)
+    parts = kept.groupBy(F.col(key).alias("_key"), F.col("_part").alias("_of")).agg(F.count("*").alias("_n"), F.min("_place").alias("_first"))
+    parts = parts.withColumn("_before", F.coalesce(F.sum("_n").over(along), F.lit(0)))
+    met = kept.join(parts, F.col(key).eqNullSafe(F.col("_key")) & (F.col("_part") == F.col("_of")))
+    return met.select(*rows.columns, (F.col("_before") + F.col("_place") - F.col("_first") + 1).alias("rank"))
+
+
 def hash_fraction(*parts: Column) -> Column:
     """A draw from the open interval 0 to 1, fixed by the strings of `parts` (52 bits of their MD5)."""
     digits = F.substring(F.md5(F.concat_ws("/", *parts)), 1, 13)

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -84,5 +85,55 @@ def test_system_turn_of_the_first_part_counts(spark, at):
     assert sum(w["n_new"] for w in found) == 30 and all("### system" in w["formatted"] for w in found[1:])
 
 
+def _windows(rows, budget, history, history_turns):
+    """The windows of one conversation by a loop over all its turns: (tokens, repeated, new) with the turns of each."""
+    cost = lambda r: len(re.findall(r"\w+|[^\w\s]", r[1])) + 4
+    spans, first, used = [], 0, 0
+    for at, row in enumerate(rows):
+        system = next((r for r in rows[:first] if r[0] == "system"), None)
+        room = budget if not spans else max(budget - history - (cost(system) if system else 0), 1)
+        if at > first and used + cost(row) > room:
+            spans.append((first, at))
+            first, used = at, 0
+        used += cost(row)
+    spans.append((first, len(rows)))
+    out = []
+    for a, b in spans:
+        system = [r for r in rows[:a] if r[0] == "system"][:1]
+        past = []
+        for r in reversed([r for r in rows[:a] if r[0] != "system"][-history_turns:]):
+            if sum(map(cost, past)) + cost(r) > history:
+                break
+            past.insert(0, r)
+        out.append(("".join(f"### {r}: {t}</turn>\n" for r, t in [*system, *past, *rows[a:b]]), len(system) + len(past), b - a))
+    return out
+
+
+@pytest.mark.parametrize("part_turns", [2, 7, 256, 100_000])
+def test_windows_do_not_depend_on_the_parts(spark, part_turns):
+    """Dense, sparse, null and repeated turn numbers; a system turn first, late, several, or none."""
+    rng = random.Random(3)
+    rows = []
+    for conv, numbers in enumerate(([*range(30)], [*range(0, 9000, 300)], [None] * 25, [5] * 25, [None, 1, 1, 2, 700, 700, 701])):
+        for n in numbers:
+            rows.append((conv, n, rng.choice(["user", "assistant", "user", "assistant", "system"]), "word " * rng.randint(0, 9) + f"{len(rows)}"))
+    rows += [(8, t, "user", "a b c d") for t in range(0, 2400, 300)]
+    want = {}
+    for conv in {r[0] for r in rows}:
+        of = sorted((r[1] is not None, r[1] or 0, r[2], r[3]) for r in rows if r[0] == conv)
+        want[conv] = _windows([r[2:] for r in of], 60, 20, 3)
+    df = spark.createDataFrame([(*r, 1, "p") for r in rows], SCHEMA).repartition(3)
+    found = chat.format_conversations(df, budget=60, history=20, history_turns=3, part_turns=part_turns).orderBy("conv_id", "part", "window")
+    got = {}
+    for w in found.collect():
+        got.setdefault(w["conv_id"], []).append((w["formatted"], w["n_repeated"], w["n_new"]))
+    assert got == want
+
+
+def test_plan_is_native(spark):
+    plan = chat.format_conversations(spark.createDataFrame([(1, 0, "user", "x", 0, "")], SCHEMA))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan
+
+
 def test_empty_table(spark):
     assert chat.format_conversations(spark.createDataFrame([], SCHEMA)).count() == 0
