@@ -116,15 +116,15 @@ def mix(
     over `blocks` groups.
 
     A null source is a source of its own. Null and empty texts count one token; repeated rows are
-    dealt like others, equal ones in the same block. An empty table gives no rows. Columns of the result's names are replaced, others stay.
+    dealt like others, equal ones in the same block. Texts are counted
+    whole. An empty table gives no rows. Columns of the result's names are replaced, others stay, whatever their names.
     """
     name = F.when(F.col(source).isNull(), F.lit("null")).otherwise(F.concat(F.lit("="), F.col(source).cast("string")))
-    placed = docs.withColumns(
-        {
-            "_source": name,
-            "_block": F.pmod(F.xxhash64(F.lit(seed), F.col(key), F.col(text)), F.lit(blocks)).cast("int"),
-            "mix_tokens": token_estimate(text),
-        }
+    placed = docs.select(
+        F.struct(*(docs[c] for c in docs.columns)).alias("row"),
+        name.alias("_source"),
+        F.pmod(F.xxhash64(F.lit(seed), F.col(key), F.col(text)), F.lit(blocks)).cast("int").alias("_block"),
+        token_estimate(text).alias("mix_tokens"),
     )
     sums = written(placed.groupBy("_source", "_block").agg(F.sum("mix_tokens").alias("n")), "blocks")
     sources = written(sums.groupBy("_source").agg(F.sum("n").alias("tokens")), "sources")
@@ -146,5 +146,5 @@ def mix(
     plan = plan.filter(F.col("before") + F.col("n") / 2 <= quota * (1 + 1e-9))
     plan = plan.select("_source", "_block", "mix_epoch", (F.col("before") / quota).alias("mix_position"))
     new = ("mix_tokens", "mix_epoch", "mix_position")
-    kept = placed.select("_source", "_block", "mix_tokens", *(c for c in docs.columns if c not in new))
-    return kept.join(plan, ["_source", "_block"]).select(*(c for c in docs.columns if c not in new), *new)
+    met = placed.join(plan, ["_source", "_block"])
+    return met.select(*(F.col("row")[c].alias(c) for c in docs.columns if c not in new), *new)

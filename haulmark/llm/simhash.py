@@ -176,3 +176,20 @@ def near_duplicates(
     Other columns are ignored; an empty table gives no rows.
     """
     return rooted_documents(docs, shingle, distance, key, text).select(F.col("_key").alias(key), "fp", "component_id")
+
+
+def one_of_each(docs: DataFrame, shingle: int = 3, distance: int = 2, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """`docs` with one row of each component: the smallest key (null last), then the smallest hash of the text.
+
+    Of rows equal in both the first by their other columns stays. Rows that repeat a key in different
+    components are different documents and all stay. Null and empty texts are one component. Columns
+    stay as they are, whatever their names; texts of any length are read whole; an empty table gives no rows.
+    """
+    found = rooted_documents(docs, shingle, distance, key, text)
+    first = found.groupBy("root").agg(F.min(F.struct(F.col("_key").isNull().alias("n"), "_key", "_text")).alias("first"))
+    first = first.select(F.col("first._key").alias("_key"), F.col("first._text").alias("_text"))
+    others = F.to_json(F.struct(*(docs[c] for c in docs.columns if c not in (key, text)), F.lit(0).alias("_")))
+    rows = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), docs[key].alias("k"), F.xxhash64(docs[text]).alias("t"), others.alias("others"))
+    kept = rows.join(first, F.col("k").eqNullSafe(F.col("_key")) & (F.col("t") == F.col("_text")))
+    kept = kept.groupBy("_key", "_text").agg(F.min_by("row", "others").alias("row"))
+    return kept.select(*(F.col("row")[c].alias(c) for c in docs.columns))

@@ -255,12 +255,14 @@ def sample_labelled(docs: DataFrame, labels: DataFrame, rows: int = 12_000, key:
     return met.select("text", label)
 
 
-def score_documents(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", sample: int = 12_000) -> DataFrame:
-    """`docs` with `toxicity`, a probability; the sample of `sample_labelled` bounds the training.
+def score_documents(
+    docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", sample: int = 12_000, name: str = "toxicity"
+) -> DataFrame:
+    """`docs` with `name`, a probability; the sample of `sample_labelled` bounds the training.
 
     Null and empty texts get the score of a text without any feature; repeated rows are scored
     each; without labels of both classes all scores are 0. Other columns stay as they are.
     """
     learnt = sample_labelled(docs.select(F.col(key), F.col(text).alias("text")), labels, sample, key)
     classifier = train(learnt)
-    return docs.withColumn("toxicity", classifier.score(F.col(text)))
+    return docs.withColumn(name, classifier.score(F.col(text)))

@@ -1,9 +1,11 @@
 from __future__ import annotations
 
+import re
 from collections import Counter
+from pathlib import Path
 
 import corpus_pipeline as pipeline
-from haulmark.llm import pieces, simhash
+from haulmark.llm import linededup, mixing, pieces, simhash, toxicity
 from haulmark.llm.queries import TOKENIZERS
 
 SF = "/root/testdata/sf0.01"
@@ -76,5 +78,31 @@ def test_nulls_repeats_extra_columns_and_empty_table(spark):
     for name, stage in pipeline.STAGES:
         assert stage(spark, docs.limit(0), SF).count() == 0, name
         docs = stage(spark, docs, SF)
-    # row 1 stays once, one of the two texts without words, the long text, and the row without an id
-    assert {r["doc_id"] for r in docs.collect()} == {1, 2, 4, None}
+    # row 1 stays once, one of the three texts without words (one has no id), and the long text
+    assert {r["doc_id"] for r in docs.collect()} == {1, 2, 4}
+
+
+def test_copies_without_an_id_go(spark):
+    texts = [" ".join(f"w{k}x{n}" for n in range(60)) for k in range(3)]
+    rows = [(None, texts[0]), (None, texts[0]), (5, texts[0]), (None, texts[1]), (None, texts[1]), (None, texts[2])]
+    out = pipeline.drop_near_copies(spark, spark.createDataFrame(rows, "doc_id bigint, text string"), SF)
+    assert Counter(tuple(r) for r in out.collect()) == Counter([(5, texts[0]), (None, texts[1]), (None, texts[2])])
+
+
+MODULES = [toxicity, linededup, simhash, mixing]
+
+
+def test_columns_named_as_any_helper_stay(spark):
+    """Every name that occurs in the modules of the stages, as a further column."""
+    words = {w for m in MODULES for w in re.findall(r'"([A-Za-z_][a-z_]*)"', Path(m.__file__).read_text())}
+    names = sorted(words - {"doc_id", "text", "source", "lang", "n_chars"})
+    assert {"_source", "_block", "_key", "_text", "mix_tokens", "toxicity", "row"} <= set(names)
+    text = " ".join(f"w{n}" for n in range(60))
+    rows = [(k, text if k < 3 else f"{text} {k} " * 3, "s", *range(len(names))) for k in range(1, 5)]
+    docs = spark.createDataFrame(rows, ["doc_id", "text", "source", *names])
+    for name, stage in pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns, name
+        found = out.collect()
+        assert {r["doc_id"] for r in found} >= {1, 3}, name
+        assert all([r[n] for n in names] == list(range(len(names))) for r in found), name
