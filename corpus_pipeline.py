@@ -20,39 +20,45 @@ TOXIC = 0.3
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier, trained on `labels`, scores below `TOXIC`."""
+    """Documents that the classifier, trained on `labels`, scores below `TOXIC`.
+
+    Null and empty texts are no sign of anything and stay unless most such texts are labelled toxic; repeated
+    rows are judged each; columns stay as they are.
+    """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return toxicity.score_documents(docs, labels).filter(F.col("toxicity") < TOXIC).select(docs.columns)
+    name = "_".join(["toxicity", *docs.columns])  # longer than every other
+    return toxicity.score_documents(docs, labels, name=name).filter(F.col(name) < TOXIC).select(docs.columns)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents less the runs of lines that repeat earlier ones; `n_chars` follows the text."""
-    cut = linededup.remove_repeated_runs(docs)
+    """Documents less the runs of lines that repeat earlier ones; `n_chars` follows the text.
+
+    No document goes; null texts stay null, and columns stay as they are.
+    """
+    carried = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "text")
+    cut = linededup.remove_repeated_runs(carried)
+    made = {"text": F.col("text")}
     if "n_chars" in docs.columns:
-        cut = cut.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars")).cast("long"))
-    return cut.select(docs.columns)
+        made["n_chars"] = F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("row.n_chars")).cast("long")
+    return cut.select(*(made.get(c, F.col("row")[c]).alias(c) for c in docs.columns))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash component, the one with the smallest id; rows without an id stay.
-
-    Of rows that share this id the text with the smallest hash stays, and of rows equal in both the
-    first by their other columns. Rows that repeat an id in different components are different documents."""
-    found = simhash.rooted_documents(docs, shingle=3, distance=2).filter("_key is not null")
-    first = found.groupBy("root").agg(F.min(F.struct("_key", "_text")).alias("first")).select("first.*")
-    kept = docs.join(first, (docs["doc_id"] == first["_key"]) & (F.xxhash64(docs["text"]) == first["_text"]))
-    others = F.to_json(F.struct(*(docs[c] for c in docs.columns if c not in ("doc_id", "text")), F.lit(0).alias("_")))
-    kept = kept.groupBy("_key", "_text").agg(F.min_by(F.struct(*(docs[c] for c in docs.columns)), others).alias("row"))
-    return kept.select("row.*").unionByName(docs.filter("doc_id is null"))
+    """One document of each SimHash component, by `simhash.one_of_each`: the smallest id, null last."""
+    return simhash.one_of_each(docs, shingle=3, distance=2)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents repeated to near equal token shares of the sources; every document stays at least once."""
-    return mixing.mix(docs).select(docs.columns)
+    """Documents repeated to near equal token shares of the sources; every document stays at least once.
+
+    A null source is one; null and empty texts count one token; columns stay as they are.
+    """
+    carried = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "source", "text")
+    return mixing.mix(carried).select(*(F.col("row")[c].alias(c) for c in docs.columns))
 
 
 def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The piece ids of each text."""
+    """The piece ids of each text; a null text has none, a repeated row its own."""
     model = f"{TOKENIZERS}/piece_bpe_32k.model"
     coded = pieces.encode(docs, model, keep=["doc_id", "lang", "source"])
     return coded.select("doc_id", "lang", "source", F.size("ids").alias("n_tokens"), "ids")
