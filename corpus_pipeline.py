@@ -30,14 +30,19 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(docs, labels, name=name).filter(F.col(name) < TOXIC).select(docs.columns)
 
 
+def _carried(docs: DataFrame, *used: str) -> DataFrame:
+    """The columns that a stage uses, and the others as one, `row`, so that none has a name of the stage's own."""
+    others = [docs[c] for c in docs.columns if c not in used]
+    return docs.select(F.struct(F.lit(0), *others).alias("row"), *used)
+
+
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents less the runs of lines that repeat earlier ones; `n_chars` follows the text.
 
     No document goes; null texts stay null, and columns stay as they are.
     """
-    carried = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "text")
-    cut = linededup.remove_repeated_runs(carried)
-    made = {"text": F.col("text")}
+    cut = linededup.remove_repeated_runs(_carried(docs, "doc_id", "text"))
+    made = {"doc_id": F.col("doc_id"), "text": F.col("text")}
     if "n_chars" in docs.columns:
         made["n_chars"] = F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("row.n_chars")).cast("long")
     return cut.select(*(made.get(c, F.col("row")[c]).alias(c) for c in docs.columns))
@@ -53,8 +58,9 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     A null source is one; null and empty texts count one token; columns stay as they are.
     """
-    carried = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "source", "text")
-    return mixing.mix(carried).select(*(F.col("row")[c].alias(c) for c in docs.columns))
+    used = ("doc_id", "source", "text")
+    mixed = mixing.mix(_carried(docs, *used))
+    return mixed.select(*(F.col(c) if c in used else F.col("row")[c].alias(c) for c in docs.columns))
 
 
 def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
