@@ -144,13 +144,18 @@ def split_join(
 def dealt_join(
     facts: DataFrame, other: DataFrame, key: str, how: str = "inner", parts: int = PARTS
 ) -> DataFrame:
-    """Inner or left join with a table of few rows per key, every key of `facts` dealt out over `parts`.
+    """Inner, left, semi or anti join with a table of few rows per key, every key of `facts` dealt out over `parts`.
+
+    A part holds all of `other` that its facts may meet, so a semi or anti join (`left_semi`, `left_anti`) decides
+    each row of `facts` in its part; of `other` the keys are taken once then.
 
     Nothing is counted: `other` is copied to all parts, which is cheap where it is a small
     share of `facts`. Spark still broadcasts it where its own size check allows.
     """
     numbers = F.array(*[F.lit(part) for part in range(parts)])
     dealt = facts.withColumn(PART, F.pmod(row_hash(facts), F.lit(parts)).cast("int"))
+    if how in ("left_semi", "left_anti"):
+        other = other.select(key).distinct()
     copied = other.withColumn(PART, F.explode(numbers))
     return dealt.join(copied, [key, PART], how).drop(PART)
 

@@ -20,7 +20,7 @@ from haulmark.operators.latest import (
     latest_by_maxima,
     snapshot_dimension,
 )
-from haulmark.operators.skew import heavy_keys, split_join
+from haulmark.operators.skew import dealt_join, heavy_keys, split_join
 from haulmark.plans import maintenance, refresh, survival
 from haulmark.plans.incremental import incremental_delta, newest_date, newest_time, rows_after
 from haulmark.plans.telemetry import (
@@ -232,16 +232,17 @@ def q_semi_join_subset(spark, sf):
     customers = s.table(spark, sf, "customer").join(
         nations, F.col("c_nationkey") == F.col("n_nationkey"), "left_semi"
     )
-    return s.table(spark, sf, "orders").join(
-        customers, F.col("o_custkey") == F.col("c_custkey"), "left_semi"
-    ).select("o_orderkey", "o_custkey", "o_totalprice")
+    orders = s.table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    return dealt_join(
+        orders, customers.withColumnRenamed("c_custkey", "o_custkey"), "o_custkey", "left_semi"
+    )
 
 
 def q_anti_join_never_failed(spark, sf):
     orders = s.table(spark, sf, "orders").select("o_custkey", "o_orderstatus")
     maintained = orders.where(F.col("o_orderstatus") == "O").select("o_custkey").distinct()
     failed = orders.where(F.col("o_orderstatus") == "F").select("o_custkey")
-    return maintained.join(failed, "o_custkey", "left_anti")
+    return dealt_join(maintained, failed, "o_custkey", "left_anti")
 
 
 def _customers(spark, sf):
