@@ -30,18 +30,18 @@ def _lines(docs: DataFrame, key: str, text: str) -> DataFrame:
     """(_key, _text, line, h, words) of the lines with a word; copies of a row are one text."""
     each = docs.select(F.col(key).alias("_key"), F.xxhash64(text).alias("_text"), F.posexplode(F.split(text, "\n")).alias("line", "_s"))
     each = each.select("_key", "_text", "line", F.xxhash64("_s").alias("h"), F.regexp_count("_s", F.lit(WORD)).alias("words"))
-    return each.filter("words > 0").dropDuplicates(["_key", "_text", "line"])
+    return each.filter("words > 0").repartition("_key", "_text").dropDuplicates(["_key", "_text", "line"])
 
 
-def fingerprints(docs: DataFrame, key: str, text: str, gram: int, window: int) -> DataFrame:
-    """Selected grams: g, _key, _text, line, its rank among the text's lines with a word, the first and last of
+def fingerprints(lines: DataFrame, gram: int, window: int) -> DataFrame:
+    """Selected grams of `_lines`: g, _key, _text, line, its rank among the text's lines with a word, the first and last of
     these, and the near ones before and from there as (line, h)."""
     reach = gram + window - 1
     of_text = Window.partitionBy("_key", "_text")
     before = F.coalesce(F.sum("words").over(of_text.orderBy("line").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     # with the words of a line counted up to `gram`, grams stay the same and end within 2 * gram - 1
     short = F.sum(F.least("words", F.lit(gram))).over(of_text.orderBy("line").rowsBetween(Window.unboundedPreceding, -1))
-    lines = _lines(docs, key, text).withColumns({"start": before.cast("long"), "place": F.coalesce(short, F.lit(0)).cast("long")})
+    lines = lines.withColumns({"start": before.cast("long"), "place": F.coalesce(short, F.lit(0)).cast("long")})
     ranked = of_text.orderBy("line")
     lines = lines.withColumns({"rank": F.row_number().over(ranked), "top": F.min("line").over(of_text), "bottom": F.max("line").over(of_text)})
     along = of_text.orderBy("start")
@@ -124,27 +124,26 @@ def _matches(marks: DataFrame) -> DataFrame:
     )
 
 
-def _strips(docs: DataFrame, key: str, text: str, ends: DataFrame) -> DataFrame:
+def _strips(lines: DataFrame, ends: DataFrame) -> DataFrame:
     """(_key, _text, strip, first, lines) of the texts in `ends`: each strip's lines with a word, and those of its neighbours, from rank `first` on."""
     names = ends.select("_key", "_text").unionByName(ends.select(F.col("_first_key").alias("_key"), F.col("_first_text").alias("_text"))).distinct()
-    names = names.select(F.col("_key").alias("k"), F.col("_text").alias("t"))
-    each = docs.select(F.col(key).alias("_key"), F.col(text).alias("_value"))
-    wanted = each.join(names, each["_key"].eqNullSafe(F.col("k")) & (F.xxhash64("_value") == F.col("t")), "left_semi")
-    lines = _lines(wanted, "_key", "_value").withColumn("rank", F.row_number().over(Window.partitionBy("_key", "_text").orderBy("line")))
+    names = written(names.select(F.col("_key").alias("k"), F.col("_text").alias("t")), "open")
+    lines = lines.join(names, F.col("_key").eqNullSafe(F.col("k")) & (F.col("_text") == F.col("t")), "left_semi")
+    lines = lines.withColumn("rank", F.row_number().over(Window.partitionBy("_key", "_text").orderBy("line")))
     own = F.floor(F.col("rank") / STRIP)
     lines = lines.withColumn("strip", F.explode(F.array(own - 1, own, own + 1)))
     strips = lines.groupBy("_key", "_text", "strip").agg(F.sort_array(F.collect_list(F.struct("rank", "line", "h"))).alias("lines"))
     return strips.withColumn("first", F.element_at("lines", 1)["rank"])
 
 
-def _carried_on(docs: DataFrame, key: str, text: str, matches: DataFrame) -> list[DataFrame]:
+def _carried_on(lines: DataFrame, matches: DataFrame) -> list[DataFrame]:
     """Spans (_key, _text, from, to) that the open ends of `matches` add, a table for each round of strips."""
     forth = matches.filter("open_forth and not stops_forth").select(*_PAIR, F.col("to_rank").alias("at"), F.col("to").alias("line"), F.lit(1).alias("step"))
     back = matches.filter("open_back and not stops_back").select(*_PAIR, F.col("from_rank").alias("at"), F.col("from").alias("line"), F.lit(-1).alias("step"))
     ends, spans = written(forth.unionByName(back), "ends"), []
     if ends.isEmpty():
         return spans
-    strips = written(_strips(docs, key, text, ends), "strips")
+    strips = written(_strips(lines, ends), "strips")
     while not ends.isEmpty():
         next_rank = F.col("at") + F.col("step")
         place = ends.withColumns({"_strip": F.floor(next_rank / STRIP), "_first_strip": F.floor((next_rank - F.col("shift")) / STRIP)})
@@ -183,10 +182,11 @@ def repeated_runs(docs: DataFrame, key: str = "doc_id", text: str = "text", gram
     gram that very many texts share meets one row, its first occurrence; the join's sides are
     written tables straight from a shuffle, so Spark splits such a gram.
     """
-    marks = written(fingerprints(docs, key, text, gram, window), "marks")
+    lines = written(_lines(docs, key, text), "lines")
+    marks = written(fingerprints(lines, gram, window), "marks")
     matches = written(_matches(marks), "matches")
     runs = matches.select("_key", "_text", "from", "to")
-    for more in _carried_on(docs, key, text, matches):
+    for more in _carried_on(lines, matches):
         runs = runs.unionByName(more)
     return runs.groupBy("_key", "_text").agg(F.collect_set(F.struct("from", "to")).alias("runs"))
 
@@ -201,8 +201,9 @@ def remove_repeated_runs(docs: DataFrame, key: str = "doc_id", text: str = "text
     replaced, other columns stay, whatever their names.
     """
     runs = repeated_runs(docs, key, text, gram, window).select(F.col("_key").alias("k"), F.col("_text").alias("t"), "runs")
-    met = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), docs[key].alias("key"), docs[text].alias("text"))
-    met = met.join(runs, F.col("key").eqNullSafe(F.col("k")) & (F.xxhash64("text") == F.col("t")), "left")
+    met = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), docs[key].alias("key"), F.xxhash64(docs[text]).alias("hash"))
+    met = met.join(runs, F.col("key").eqNullSafe(F.col("k")) & (F.col("hash") == F.col("t")), "left")
+    met = met.withColumn("text", F.col("row")[text])
     gone = F.flatten(F.transform("runs", lambda r: F.sequence(r["from"], r["to"])))
     met = met.withColumn("lines", F.split("text", "\n"))
     met = met.withColumn("left", F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), gone))
