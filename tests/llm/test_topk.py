@@ -53,3 +53,35 @@ def test_unusable_vectors_few_candidates_and_empty_table(spark):
     assert sorted(map(tuple, got.collect())) == [(0, 1, 4, 256 * 64 - 26 * 128), (0, 2, 4, 256 * 64 - 26 * 128)]
     assert topk.top_k(fit.limit(0), F.lit(True)).count() == 0
     assert topk.top_k(fit, F.lit(False)).count() == 0
+
+
+def test_rows_that_repeat_count_each(spark):
+    rng = random.Random(4)
+    rows = [(rng.randrange(9), (5, 5)) for _ in range(300)] + [(rng.randrange(40), (rng.randint(-3, 6), 5)) for _ in range(300)]
+    df = spark.createDataFrame([(i, list(v), "x", 0) for i, v in rows], "vec_id bigint, vector array<bigint>, cell string, d int")
+    got = topk.top_k(df, F.col("vec_id") % 4 == 0, k=3, cells=4, sample=10, members=2)
+    want = sorted(
+        (qid, n + 1, i, -s)
+        for qid, q in {r for r in rows if r[0] % 4 == 0}
+        for n, (s, i) in enumerate(sorted((-sum(a * b for a, b in zip(q, v)), i) for i, v in rows if i != qid)[:3])
+    )
+    assert sorted(map(tuple, got.collect())) == want
+    kept = topk.collapsed(df.select(F.col("vec_id").alias("id"), F.col("vector").alias("v")), 3).filter("v = array(5L, 5L)").first()["ids"]
+    assert [x["id"] for x in kept] == [0, 1, 2, 3] and all(x["n"] == 3 for x in kept)
+
+
+def test_far_groups_are_not_sent(spark):
+    rng = random.Random(5)
+    rows = [(i, tuple(1000 * (c == i % 8) + rng.randint(-20, 20) for c in range(8))) for i in range(800)]
+    df = spark.createDataFrame([(i, list(v)) for i, v in rows], "vec_id bigint, vector array<bigint>")
+    asks, data, _ = topk.dealt(df, F.col("vec_id") % 5 == 0, k=3, cells=24, sample=400)
+    needs = data.agg(F.sum(F.size("cells"))).first()[0]
+    assert needs < 0.5 * 800 * asks.select("cell").distinct().count()
+    got = topk.top_k(df, F.col("vec_id") % 5 == 0, k=3, cells=24, sample=400)
+    assert {tuple(r) for r in got.collect()} == _brute(rows, set(range(0, 800, 5)), 3)
+
+
+def test_packs_hold_small_cells_together(monkeypatch):
+    monkeypatch.setattr(topk, "BLOCK_QUERIES", 10)
+    pack, parts = topk._packs({1: 3, 2: 25, 3: 4, 4: 9, 5: 10, 6: 2})
+    assert parts == [1, 1, 1, 3] and pack == {6: 0, 1: 0, 3: 0, 4: 1, 5: 2, 2: 3}
