@@ -21,6 +21,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from haulmark.llm.common import first_by_hash
+
 #: Kinds of identity terms; a term is swapped for the next of its kind.
 IDENTITY_TERMS = (
     ("women", "men"),
@@ -249,7 +251,7 @@ def sample_labelled(docs: DataFrame, labels: DataFrame, rows: int = 12_000, key:
     """
     usable = labels.select(key, label).filter(F.col(key).isNotNull() & F.col(label).isNotNull() & ~held_out(F.col(key)))
     usable = usable.groupBy(key).agg(F.max(label).alias("_label"))
-    chosen = usable.orderBy(F.xxhash64(key), key).limit(rows)
+    chosen = first_by_hash(usable, rows, F.xxhash64(key))
     met = docs.select(key, "text").join(F.broadcast(chosen), key)
     met = met.groupBy(key).agg(F.min_by("text", F.xxhash64("text")).alias("text"), F.max("_label").alias(label))
     return met.select("text", label)
