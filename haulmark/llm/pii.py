@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from haulmark.llm.common import written
+from haulmark.llm.common import first_by_hash, written
 
 BASE = ("email", "ip", "card", "phone")
 ADDED = ("email", "name", "number", "secret")
@@ -93,8 +93,8 @@ def joined(spans: dict[str, list[Span]]) -> str:
 
 SECRET = re.compile(r"(?<![A-Za-z0-9_+/=-])[A-Za-z0-9_+/=-]{16,}+")
 NUMBER = re.compile(r"(?<![0-9A-Za-z+])[0-9][0-9 ().-]{5,}[0-9](?![0-9A-Za-z])")
-SPELT = re.compile(r"[A-Za-z0-9._%+-]{1,64} ?[\[(]at[\])] ?[A-Za-z0-9-]{1,64}(?: ?(?:\.|[\[(]dot[\])]) ?[A-Za-z0-9-]{1,64}){1,4}")
-NAME = re.compile(r"(?<!\w)(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Monsieur|Madame|Señor|Señora|Name:)\.? [A-Z]\w{1,40}(?: [A-Z]\w{1,40}){0,2}")
+SPELT = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++ ?[\[(]at[\])] ?[A-Za-z0-9-]++(?: ?(?:\.|[\[(]dot[\])]) ?[A-Za-z0-9-]++)++")
+NAME = re.compile(r"(?<!\w)(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Monsieur|Madame|Señor|Señora|Name:)\.? [A-Z]\w++(?: [A-Z]\w++){0,2}+")
 
 # fixed lists of the gazetteer and context labelers
 SECRET_PREFIXES = ("AKIA", "ASIA", "ghp_", "gho_", "sk_", "pk_", "xoxb", "xoxp", "eyJ", "AIza")
@@ -223,8 +223,9 @@ def find_personal_data(docs: DataFrame, key: str = "doc_id", text: str = "text",
     """One row per document: key, base (array of kind, start, end), base_text, spans (added ones too).
 
     Result columns: key, n_email, n_ip, n_card, n_phone (base spans), base_text and spans
-    (`joined` forms), base_sha256. Places are code points, ends exclusive. The span classifier learns from
-    the `sample` spans first by hash; reliabilities come from all spans. Null and empty texts
+    (`joined` forms), base_sha256, n_added (spans beside the base ones). Places are code points, ends
+    exclusive. The span classifier learns from the `sample` spans first by hash, equal ones once;
+    reliabilities come from all spans. A name is a title and up to three words of any length. Null and empty texts
     have no spans; repeated rows stay repeated; an empty table gives no rows; other columns are
     ignored. Without any candidate nothing is learnt and nothing added.
     """
@@ -254,10 +255,13 @@ def find_personal_data(docs: DataFrame, key: str = "doc_id", text: str = "text",
         patterns = codes[:, None] // 3 ** np.arange(len(LABELERS)) % 3
         belief, _ = fit_labelers(patterns, np.array([r["count"] for r in found]))
         known = dict(zip(codes.tolist(), belief.tolist(), strict=True))
-        order = F.xxhash64(key, "kind", "start", "end", "votes")
-        chosen = each.select("votes", "shape", order.alias("_o")).orderBy("_o", "votes").limit(sample).collect()
+        drawn = each.select(key, "kind", "start", "end", "votes", "shape")
+        chosen = first_by_hash(drawn, sample, F.xxhash64(*drawn.columns)).select("votes", "shape").collect()
+        chosen.sort()  # sums of floats depend on the order
         model = fit_spans(np.array([r["shape"] for r in chosen]), np.array([known[r["votes"]] for r in chosen]))
-    return table.withColumn("spans", _decided(*model)("candidates")).drop("candidates")
+    table = table.withColumn("spans", _decided(*model)("candidates")).drop("candidates")
+    n_spans = F.when(F.col("spans") == "", 0).otherwise(F.size(F.split("spans", ",")))
+    return table.withColumn("n_added", (n_spans - sum(F.col(f"n_{k}") for k in BASE)).cast("long"))
 
 
 def _decided(weight: np.ndarray, bias: float):  # noqa: ANN202

@@ -72,7 +72,7 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document: base spans, and all spans with those that the labelers add."""
     found = pii.find_personal_data(_table(spark, sf_dir, "documents"))
-    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans")
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "n_added")
 
 
 def op5_temperature_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
