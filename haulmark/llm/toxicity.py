@@ -47,7 +47,7 @@ IDENTITY_TERMS = (
     ("negros", "blancos"),
     ("musulmanes", "cristianos", "judíos"),
 )
-SWAP = {a: b for kind in IDENTITY_TERMS for a, b in zip(kind, (*kind[1:], kind[0]), strict=True)}
+Kinds = Iterable[tuple[str, ...]]
 
 WORDS = re.compile(r"[^\W_]+")
 BEGINNINGS = (4, 5, 6, 7)
@@ -95,11 +95,21 @@ def _words(text: str | None) -> Counter[str]:
     return Counter(WORDS.findall((text or "").lower()))
 
 
-def swapped(words: Counter[str]) -> Counter[str]:
+def swaps(terms: Kinds) -> dict[str, str]:
+    """Every term to the next of its kind, in lower case; a term of several kinds is swapped within the first."""
+    out: dict[str, str] = {}
+    for kind in terms:
+        words = [word.lower() for word in kind]
+        for word, following in zip(words, (*words[1:], *words[:1]), strict=True):
+            out.setdefault(word, following)
+    return out
+
+
+def swapped(words: Counter[str], swap: dict[str, str]) -> Counter[str]:
     """The words of the text with every identity term replaced by the next of its kind."""
     out: Counter[str] = Counter()
     for word, n in words.items():
-        out[SWAP.get(word, word)] += n
+        out[swap.get(word, word)] += n
     return out
 
 
@@ -172,9 +182,11 @@ def train(
     penalty: float = 1.0,
     l2: float = 5e-4,
     rounds: int = 300,
+    terms: Kinds = IDENTITY_TERMS,
 ) -> Classifier:
     """Train on `labelled`, whose size the caller bounds (see `sample_labelled`).
 
+    `penalty` weighs score changes under swaps within the kinds of `terms`, single words.
     Features: the `features` ones with the largest log-likelihood ratio between the classes,
     of those in at least four texts. Rows with a null label are left out; if either class is
     missing, the classifier is untrained and scores 0.
@@ -204,6 +216,7 @@ def train(
     chosen = [r["feature"] for r in best.orderBy(F.desc("ratio"), "feature").limit(features).collect()]
     place = {x: i for i, x in enumerate(chosen)}
     bases = frozenset(x // len(STEPS) for x in chosen)
+    swap = swaps(terms)
 
     def placed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counter = _Counts(bases)
@@ -213,7 +226,7 @@ def train(
 
         for batch in batches:
             words = [_words(t) for t in batch["text"]]
-            changed = [own(swapped(w)) if not SWAP.keys().isdisjoint(w) else None for w in words]
+            changed = [own(swapped(w, swap)) if not swap.keys().isdisjoint(w) else None for w in words]
             yield pd.DataFrame({"y": batch["y"].to_numpy(), "own": [own(w) for w in words], "changed": changed})
 
     sample = labelled.mapInPandas(placed, "y int, own array<int>, changed array<int>").collect()
@@ -258,13 +271,20 @@ def sample_labelled(docs: DataFrame, labels: DataFrame, rows: int = 12_000, key:
 
 
 def score_documents(
-    docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", sample: int = 12_000, name: str = "toxicity"
+    docs: DataFrame,
+    labels: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    sample: int = 12_000,
+    name: str = "toxicity",
+    terms: Kinds = IDENTITY_TERMS,
 ) -> DataFrame:
-    """`docs` with `name`, a probability; the sample of `sample_labelled` bounds the training.
+    """`docs` with `name`, a probability; the sample of `sample_labelled` bounds the training, `terms`
+    are the identity terms of `train`.
 
     Null and empty texts get the score of a text without any feature; repeated rows are scored
     each; without labels of both classes all scores are 0. Other columns stay as they are.
     """
     learnt = sample_labelled(docs.select(F.col(key), F.col(text).alias("text")), labels, sample, key)
-    classifier = train(learnt)
+    classifier = train(learnt, terms=terms)
     return docs.withColumn(name, classifier.score(F.col(text)))

@@ -52,9 +52,81 @@ def test_penalty_takes_the_weight_off_identity_terms(spark):
     assert scores[5.0][2] > 0.8
 
 
+PLAIN = "the report says that people in town met today and spoke about work while rain fell over old bridge near river market".split()
+GROUPS = ("gay", "muslim", "black", "immigrant", "women")
+
+
+def _mentions(n, seed):
+    """A quarter is toxic, of which half name a group; of the others one in fifty does."""
+    rng = random.Random(seed)
+    rows = []
+    for k in range(n):
+        bad = k % 4 == 0
+        words = rng.sample(PLAIN, 7)
+        if rng.random() < (0.5 if bad else 0.02):
+            words.append(rng.choice(GROUPS))
+        elif rng.random() < 0.3:
+            words.append(rng.choice(("straight", "christian", "white", "native", "men")))
+        if bad and rng.random() < 0.85:
+            words.append(rng.choice(("idiot", "scum", "trash", "vermin")))
+        rng.shuffle(words)
+        rows.append((" ".join(words), int(bad)))
+    return rows
+
+
+def test_false_positives_on_held_out_neutral_mentions(spark):
+    rng = random.Random(9)
+    neutral = [(" ".join([*rng.sample(PLAIN, 7), g]), 0, True) for g in GROUPS for _ in range(60)]
+    test = spark.createDataFrame([(*r, False) for r in _mentions(1000, 2)] + neutral, "text string, toxic int, neutral boolean")
+    df = spark.createDataFrame(_mentions(2000, 1), "text string, toxic int")
+    wrong, caught = {}, {}
+    for name, model in (("none", toxicity.train(df, penalty=0.0)), ("default", toxicity.train(df))):
+        got = test.withColumn("flagged", (model.score(F.col("text")) >= 0.3).cast("int"))
+        wrong[name] = got.filter("neutral").agg(F.avg("flagged")).first()[0]
+        caught[name] = got.filter("not neutral and toxic = 1").agg(F.avg("flagged")).first()[0]
+    assert wrong["none"] > 0.5 and wrong["default"] < 0.02
+    assert caught["default"] > 0.8 and caught["none"] - caught["default"] < 0.1
+
+
+def test_scores_against_loops_over_the_weights(spark):
+    rows = _mentions(400, 5) + [("", 0), ("idiot " * 9 + "idiotic scum-trash", 1), (None, 0), ("İ ß Idiots", 1)]
+    df = spark.createDataFrame(rows, "text string, toxic int")
+    model = toxicity.train(df)
+    assert model.trained and model.weights
+
+    def score(text):
+        words = toxicity.WORDS.findall((text or "").lower())
+        total = model.bias
+        for feature, weight in model.weights.items():
+            base, step = divmod(feature, 4)
+            n = 0
+            for word in words:
+                n += zlib.crc32(("w" + word).encode()) % toxicity.SPACE_SIZE == base
+                for k in (4, 5, 6, 7):
+                    n += len(word) > k and zlib.crc32(("p" + word[:k]).encode()) % toxicity.SPACE_SIZE == base
+            total += weight * (n >= 2**step)
+        return 1 / (1 + np.exp(-total))
+
+    for r in df.select("text", model.score(F.col("text")).alias("s")).collect():
+        assert r["s"] == pytest.approx(score(r["text"]), abs=1e-9)
+
+
 def test_swapping_keeps_the_kind():
-    assert set(toxicity.SWAP) == set(toxicity.SWAP.values())
-    assert toxicity.swapped(toxicity._words("Women and gay men")) == toxicity._words("men and straight women")
+    swap = toxicity.swaps(toxicity.IDENTITY_TERMS)
+    assert set(swap) == set(swap.values())
+    assert toxicity.swapped(toxicity._words("Women and gay men"), swap) == toxicity._words("men and straight women")
+
+
+def test_terms_of_the_caller(spark):
+    rows = [(t.replace("gay", "zorbian").replace("straight", "quellian"), y) for t, y in _sentences(900)]
+    df = spark.createDataFrame(rows, "text string, toxic int")
+    neutral = spark.createDataFrame([("the zorbian people met today",)], "text string")
+    scores = [
+        neutral.select(toxicity.train(df, penalty=5.0, terms=terms).score(F.col("text"))).first()[0]
+        for terms in (toxicity.IDENTITY_TERMS, [("Zorbian", "Quellian")], [])
+    ]
+    assert scores[1] < 0.3 < 0.5 < scores[0] == scores[2]
+    assert toxicity.swaps([("a", "b"), ("b", "c"), ()]) == {"a": "b", "b": "a", "c": "b"}
 
 
 def test_gradient_matches_differences():
