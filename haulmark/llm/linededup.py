@@ -25,6 +25,9 @@ from haulmark.llm.common import WORD, written
 #: Lines of a strip.
 STRIP = 64
 
+#: Bits of a row of a bitmap, bits for each entry, and bits in all at most (16 MB).
+MAP, BITS, MOST_BITS = 2**15, 16, 2**27
+
 
 def _lines(docs: DataFrame, key: str, text: str) -> DataFrame:
     """(_key, _text, line, h, words) of the lines with a word; copies of a row are one text."""
@@ -191,6 +194,24 @@ def repeated_runs(docs: DataFrame, key: str = "doc_id", text: str = "text", gram
     return runs.groupBy("_key", "_text").agg(F.collect_set(F.struct("from", "to")).alias("runs"))
 
 
+def _bitmap(hashes: DataFrame, n: int) -> tuple[DataFrame, int]:
+    """(_map, bits) of the `n` rows' column `h`, each setting one bit, and the number of bits; a full map says less, but never no to an entry."""
+    bits = min(MOST_BITS, -(-n * BITS // MAP) * MAP or MAP)
+    bit = F.pmod("h", F.lit(bits))
+    placed = hashes.select(F.floor(bit / MAP).alias("_map"), (bit % MAP).alias("_bit"))
+    return placed.groupBy("_map").agg(F.bitmap_construct_agg("_bit").alias("bits")), bits
+
+
+def _split_by(rows: DataFrame, h: str, bitmap: DataFrame, bits: int) -> tuple[DataFrame, DataFrame]:
+    """Rows whose hash `h` may be an entry of the bitmap, and those whose is none; nothing is shuffled."""
+    bit = F.pmod(h, F.lit(bits))
+    met = rows.withColumn("_at", F.floor(bit / MAP)).join(F.broadcast(bitmap), F.col("_at") == F.col("_map"), "left")
+    byte = F.conv(F.hex(F.substring("bits", (F.floor(bit % MAP / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    is_set = F.coalesce(F.expr("shiftright(_byte, _shift) % 2 = 1"), F.lit(False))
+    met = met.withColumns({"_byte": byte, "_shift": (bit % 8).cast("int")}).withColumn("_set", is_set)
+    return met.filter("_set").select(*rows.columns), met.filter("not _set").select(*rows.columns)
+
+
 def remove_repeated_runs(docs: DataFrame, key: str = "doc_id", text: str = "text", gram: int = 25, window: int = 26) -> DataFrame:
     """`docs` with `text` less the repeated runs, and `n_lines` and `n_removed`, its lines before and gone.
 
@@ -198,11 +219,16 @@ def remove_repeated_runs(docs: DataFrame, key: str = "doc_id", text: str = "text
     order. Rows equal in key and text are one text and get the same result each. Null texts stay
     null with no lines; empty ones have one line; an empty table gives no rows. Texts of any length are
     worked on line by line, and matches followed to their ends. Columns named `n_lines` or `n_removed` are
-    replaced, other columns stay, whatever their names.
+    replaced, other columns stay, whatever their names. Only texts that may hold a repeated run, by a bitmap
+    of those that do, are shuffled to meet their runs.
     """
     runs = repeated_runs(docs, key, text, gram, window).select(F.col("_key").alias("k"), F.col("_text").alias("t"), "runs")
+    runs = written(runs, "runs")
+    bitmap, bits = _bitmap(runs.select(F.xxhash64("k", "t").alias("h")), runs.count())
     met = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), docs[key].alias("key"), F.xxhash64(docs[text]).alias("hash"))
-    met = met.join(runs, F.col("key").eqNullSafe(F.col("k")) & (F.col("hash") == F.col("t")), "left")
+    some, none = _split_by(met.withColumn("h", F.xxhash64("key", "hash")), "h", written(bitmap, "bitmap"), bits)
+    met = some.join(runs, F.col("key").eqNullSafe(F.col("k")) & (F.col("hash") == F.col("t")), "left")
+    met = met.unionByName(none, allowMissingColumns=True)
     met = met.withColumn("text", F.col("row")[text])
     gone = F.flatten(F.transform("runs", lambda r: F.sequence(r["from"], r["to"])))
     met = met.withColumn("lines", F.split("text", "\n"))

@@ -186,3 +186,28 @@ def test_plan_is_native(spark):
     docs = spark.createDataFrame([(1, "a")], "doc_id bigint, text string")
     plan = linededup.remove_repeated_runs(docs)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "CartesianProduct" not in plan
+
+
+def test_only_texts_with_runs_are_shuffled(spark):
+    """Texts meet their runs by a shuffle join that few other texts are part of."""
+    hashes = spark.range(20_000).select(F.xxhash64("id").alias("h"))
+    bitmap, bits = linededup._bitmap(hashes.filter("h % 10 = 0"), 2000)
+    some, none = linededup._split_by(hashes, "h", bitmap, bits)
+    entries = {r["h"] for r in hashes.filter("h % 10 = 0").collect()}
+    may, not_ = ([r["h"] for r in x.collect()] for x in (some, none))
+    assert entries <= set(may) and not entries & set(not_) and sorted(may + not_) == sorted(r["h"] for r in hashes.collect())
+    assert len(may) - len(entries) < 0.1 * len(not_)
+    text = " ".join(f"w{k}" for k in range(60))
+    rows = [*((k, text) for k in range(5)), *((k, f"own {k} " + text) for k in range(5, 40)), (None, text), (40, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = linededup.remove_repeated_runs(docs)
+        got = out.collect()
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "Union" in plan and "SortMergeJoin" in plan
+    assert len(got) == len(rows) and {r["doc_id"] for r in got if r["text"] == ""} == set(range(5))
+    assert [r["text"] for r in got if r["doc_id"] is None] == [text] and sum(r["n_removed"] for r in got) == 5
