@@ -93,3 +93,15 @@ def test_only_native_work_after_the_fingerprints(spark):
     nodes = spark.range(10).select(F.col("id").alias("node"), F.col("id").alias("fp"))
     plan = simhash.near_pairs(nodes)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "CartesianProduct" not in plan and "BroadcastNestedLoop" not in plan
+
+
+def test_rows_that_multiply_are_not_broadcast(spark, tmp_path):
+    """Files far below Spark's limit, which would let a side be broadcast by the size it had before its rows were copied."""
+    path = str(tmp_path / "nodes")
+    spark.range(1000).select(F.col("id").alias("node"), F.xxhash64("id").alias("fp")).write.parquet(path)
+    nodes = spark.read.parquet(path)
+    links = nodes.select(F.col("node").alias("u"), F.col("fp").alias("v"))
+    for frame in (simhash.near_pairs(nodes), simhash._toward_minimum(links, True), simhash._toward_minimum(links, False)):
+        assert "Broadcast" not in frame._jdf.queryExecution().executedPlan().toString()
+        frame.collect()
+        assert "Broadcast" not in frame._jdf.queryExecution().executedPlan().toString()  # as adaptive execution changed it
