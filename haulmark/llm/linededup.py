@@ -155,9 +155,11 @@ def _carried_on(lines: DataFrame, matches: DataFrame) -> list[DataFrame]:
             other = strips.select(F.col("_key").alias("k"), F.col("_text").alias("t"), F.col("strip").alias("s"), F.col("lines").alias(lines), F.col("first").alias(first))
             return other, F.col(names[0]).eqNullSafe(F.col("k")) & (F.col(names[1]) == F.col("t")) & (F.col(names[2]) == F.col("s"))
 
-        for columns in ((("_key", "_text", "_strip"), "own", "own_first"), (("_first_key", "_first_text", "_first_strip"), "other", "other_first")):
-            table, met = side(*columns)
-            place = place.join(table, met).drop("k", "t", "s")
+        table, met = side(("_key", "_text", "_strip"), "own", "own_first")
+        place = place.join(table, met).drop("k", "t", "s")
+        # never broadcast: in memory the strips are over ten times their files, by which Spark sizes them
+        table, met = side(("_first_key", "_first_text", "_first_strip"), "other", "other_first")
+        place = place.join(table.hint("merge"), met).drop("k", "t", "s")
 
         def next_lines(lines: str, first: str, rank: Column) -> Column:
             """Up to a strip's number of lines from `rank` on, in the direction of the step."""

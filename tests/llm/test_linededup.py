@@ -211,3 +211,29 @@ def test_only_texts_with_runs_are_shuffled(spark):
     assert "Union" in plan and "SortMergeJoin" in plan
     assert len(got) == len(rows) and {r["doc_id"] for r in got if r["text"] == ""} == set(range(5))
     assert [r["text"] for r in got if r["doc_id"] is None] == [text] and sum(r["n_removed"] for r in got) == 5
+
+
+def test_strips_are_not_broadcast(spark, monkeypatch):
+    """Matches followed over strips, whose files are a small part of what they hold."""
+    plans = []
+
+    def written(df, name):
+        if name == "ends":
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return kept(df, name)
+
+    kept = linededup.written
+    monkeypatch.setattr(linededup, "written", written)
+    monkeypatch.setattr(linededup, "STRIP", 4)
+    text = "\n".join(f"line {k} of a long passage" for k in range(200))
+    docs = spark.createDataFrame([(k, f"begin {k}\n{text}\nend {k}") for k in range(3)], "doc_id bigint, text string")
+    marks = spark.createDataFrame([], "_key bigint, _text bigint, _first_key bigint, _first_text bigint, shift bigint")
+    lines = kept(linededup._lines(docs, "doc_id", "text"), "lines")
+    hashes = {r["doc_id"]: r["t"] for r in docs.select("doc_id", F.xxhash64("text").alias("t")).collect()}
+    open_ends = [(k, hashes[k], 0, hashes[0], 0, 2, 2, 2, 2, False, False, False, True) for k in (1, 2)]
+    names = ", ".join(f"{n} bigint" for n in ("from_rank", "to_rank", "from", "to"))
+    flags = ", ".join(f"{n} boolean" for n in ("stops_back", "stops_forth", "open_back", "open_forth"))
+    matches = spark.createDataFrame(open_ends, f"{', '.join(f'{n} bigint' for n in marks.columns)}, {names}, {flags}")
+    spans = linededup._carried_on(lines, matches)
+    assert {r["to"] for s in spans for r in s.collect()} >= {200} and len(plans) == len(spans) + 1
+    assert all(plan.count("SortMergeJoin") and plan.count("BroadcastHashJoin") <= 1 for plan in plans[1:])
